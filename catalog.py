@@ -417,9 +417,7 @@ COARSE = f"""SELECT lead_id, r.reply_type, r.follow_up_timing, r.objection_type,
                           for k, o in rules.COARSE_OUTCOMES.items())})
     AS r(kind, reply_type, follow_up_timing, objection_type, recommended_response) USING (kind)"""
 ENTRIES["coarse_reply"] = (
-    lambda spark, folder: raw(spark, folder)
-    .select("lead_id", classify.coarse_reply("last_inbound_text").alias("r"))
-    .select("lead_id", "r.*"),
+    lambda spark, folder: classify.with_coarse_reply(raw(spark, folder)).select("lead_id", "coarse.*"),
     query(COARSE, "raw_leads"),
 )
 ENTRIES["note_hints"] = (
@@ -713,7 +711,7 @@ def _draft_sql(channel: str, source: str) -> str:
             out = f"replace({out}, '{{{name}}}', d_{name})" if "{" + name + "}" in template else out
         return out
 
-    day = " ".join(f"WHEN contains(said, {sql.quoted(w)}) THEN {sql.quoted(d)}" for w, d in rules.DAY_WORDS.items())
+    day = " ".join(f"WHEN contains(d_said, {sql.quoted(w)}) THEN {sql.quoted(d)}" for w, d in rules.DAY_WORDS.items())
     hook = " ".join(
         f"WHEN contains(lower(notes), {sql.quoted(w)}) THEN {sql.quoted(h)}" for w, h in rules.HOOKS.items()
     )
@@ -727,12 +725,12 @@ def _draft_sql(channel: str, source: str) -> str:
     booked = "stage = 'Meeting Booked'"
     case("reply_type = 'cold'", *rules.HARD_NO_DRAFT)
     case(f"{booked} AND d_day IS NOT NULL", *rules.MEETING_DRAFTS["day"])
-    case(f"{booked} AND ({sql.has('said', ['when', 'sounds good'])})", *rules.MEETING_DRAFTS["open"])
+    case(f"{booked} AND ({sql.has('d_said', ['when', 'sounds good'])})", *rules.MEETING_DRAFTS["open"])
     case(booked, *rules.MEETING_DRAFTS["vague"])
     case("reply_type IN ('new', 'amber', 'none')", *rules.COLD_DRAFTS[channel])
     other = {"hot": "reply_type = 'hot'", "hold": "stage = 'Hold'", "default": "true"}
     for name, words, known, unknown, action, follow_up in rules.CONVERSATION_DRAFTS:
-        test = other[name] if words is None else sql.has("said", words)
+        test = other[name] if words is None else sql.has("d_said", words)
         if unknown:
             case(f"{test} AND d_contact IS NULL", unknown, action, follow_up)
         case(test, known, action, follow_up)
@@ -758,7 +756,7 @@ def _draft_sql(channel: str, source: str) -> str:
           CASE {day} END AS d_day, CASE {hook} ELSE {sql.quoted(rules.HOOK_DEFAULT)} END AS d_hook,
           coalesce(store_name, {town}, 'your store') AS d_subject, coalesce(store_name, 'your store') AS d_store,
           {place} AS d_city
-        FROM (SELECT *, lower(coalesce(last_inbound_text, '')) AS said FROM {source}) a) b"""
+        FROM (SELECT *, lower(coalesce(last_inbound_text, '')) AS d_said FROM {source}) a) b"""
 
 
 RESELLER_DRAFTS = f"""SELECT lead_id, handle, contact_name, stage, last_inbound_text, reply_type, obj_type, priority_score,

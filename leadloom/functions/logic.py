@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +15,16 @@ def as_column(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def sql_literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return sql_text(value) if isinstance(value, str) else f"{value}D" if isinstance(value, float) else str(value)
+
+
 def lookup(mapping: Mapping[str, object], key: ColumnLike, default: object = None) -> Column:
     """Value of ``key`` in a literal map, or ``default`` for unknown and missing keys."""
-    pairs = [F.lit(part) for item in mapping.items() for part in item]
-    found = F.element_at(F.create_map(*pairs), as_column(key))
+    table = F.expr("map(" + ", ".join(sql_literal(part) for item in mapping.items() for part in item) + ")")
+    found = F.element_at(table, as_column(key))
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
@@ -31,15 +35,22 @@ def shortest(phrases: Iterable[str], covered_by: Iterable[str] = ()) -> list[str
     return [p for p in unique if not any(o != p and o in p for o in others) and p not in set(covered_by)]
 
 
-def contains_any(text: ColumnLike, phrases: Iterable[str], whole_words: bool = False) -> Column:
-    """True if the text contains one of the phrases; null text gives null."""
-    column = as_column(text)
-    phrases = list(phrases)
+def sql_text(value: str) -> str:
+    """SQL literal of a text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def contains_any(column: str, phrases: Iterable[str], whole_words: bool = False) -> Column:
+    """True if the text column contains one of the phrases; null text gives null.
+
+    Written as one SQL text: a call per phrase would make building the plan slow.
+    """
+    phrases = shortest(phrases)
     if not phrases:
         return F.lit(False)
     if whole_words:
-        return column.rlike(r"\b(" + "|".join(re.escape(p) for p in phrases) + r")\b")
-    return reduce(or_, [column.contains(p) for p in shortest(phrases)])
+        return F.col(column).rlike(r"\b(" + "|".join(re.escape(p) for p in phrases) + r")\b")
+    return F.expr(" OR ".join(f"contains(`{column}`, {sql_text(p)})" for p in phrases))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -70,7 +81,8 @@ def fill(template: str, **values: ColumnLike) -> Column:
 
 def pick(options: Iterable[object], position: ColumnLike) -> Column:
     """Element of a literal list at a 0-based position column."""
-    return F.get(F.array(*[F.lit(o).cast("string") if o is None else F.lit(o) for o in options]), as_column(position))
+    table = F.expr("array(" + ", ".join(sql_literal(o) for o in options) + ")")
+    return F.get(table, as_column(position))
 
 
 def fill_picked(templates: Iterable[str], position: ColumnLike, **values: ColumnLike) -> Column:

@@ -14,9 +14,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadloom import rules
-from leadloom.functions.logic import ColumnLike, as_column, let, lookup
+from leadloom.functions.logic import ColumnLike, as_column, let, lookup, sql_text
 
 WHITESPACE = " \t\n\r\x0b\x0c\u00a0"
+BLANK_WORDS = ("", "nan", "none")
 QUOTES = "'`\""
 INVALID = "INVALID: "
 EMAIL_SHAPE = r"^[^@]+@[^@]+\.[^@]+$"
@@ -35,14 +36,23 @@ MONTHS = {
 DATE_SEPARATORS = r"[-/., :]+|(?<=\d)T"
 
 
+def strip_sql(expression: str) -> str:
+    return f"btrim({expression}, {sql_text(WHITESPACE)})"
+
+
 def strip(text: ColumnLike) -> Column:
     return F.btrim(as_column(text), F.lit(WHITESPACE))
 
 
+def present_sql(column: str) -> str:
+    blank = ", ".join(sql_text(word) for word in BLANK_WORDS)
+    return f"CASE WHEN octet_length({column}) > 4 OR lower({column}) NOT IN ({blank}) THEN {column} END"
+
+
 def present(trimmed: ColumnLike) -> Column:
     """Trimmed text, or null if it is blank, ``nan`` or ``none`` (any case)."""
     column = as_column(trimmed)
-    return F.when((F.octet_length(column) > 4) | ~F.lower(column).isin("", "nan", "none"), column)
+    return F.when((F.octet_length(column) > 4) | ~F.lower(column).isin(*BLANK_WORDS), column)
 
 
 def blank_to_null(text: ColumnLike) -> Column:

@@ -141,7 +141,7 @@ def reconciled_stage() -> Column:
     no_reply = silent & stage.isin("Replied", "Warm", "Negotiating")
 
     def signal(signals: list[str], whole: list[str], phrases: list[str]) -> Column:
-        return reduce(or_, [F.col(s) for s in signals], contains_any(msg, shortest(whole, covered_by=phrases)))
+        return reduce(or_, [F.col(s) for s in signals], contains_any("_msg", shortest(whole, covered_by=phrases)))
 
     return first_match(
         [
@@ -160,7 +160,7 @@ def reconciled_stage() -> Column:
             (no_reply, "Contacted"),
             (silent & (stage == "New") & (touches > 0), "Contacted"),
             (silent & (stage == "Won") & ((spend < 1000) | (touches < 2)), "Hold"),
-            ((stage == "Won") & contains_any(msg, rules.WON_FOLLOW_UP_PHRASES), "Replied"),
+            ((stage == "Won") & contains_any("_msg", rules.WON_FOLLOW_UP_PHRASES), "Replied"),
             (stage == "Negotiating", "Replied"),
             (silent & (stage == "Lost") & (touches <= 1) & (spend >= 3000), "Hold"),
             (silent & (stage == "Lost") & (touches <= 4) & (spend >= 5000), "Hold"),
@@ -213,32 +213,30 @@ def classify_replies(leads: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def objection_type(message: ColumnLike) -> Column:
-    """Objection behind a normalised message, ``none`` if there is none."""
+def objection_type(message: str) -> Column:
+    """Objection behind a column of normalised messages, ``none`` if there is none."""
     return first_match(
         ((contains_any(message, phrases), kind) for kind, phrases in rules.OBJECTION_PHRASES.items()), "none"
     )
 
 
-def coarse_reply(message: ColumnLike) -> Column:
+def with_coarse_reply(leads: DataFrame, message: str = "last_inbound_text") -> DataFrame:
     """Four-field reading of a message by three short phrase lists."""
-    lowered = F.lower(as_column(message))
-
-    def outcome(name: str) -> Column:
-        fields = ("reply_type", "follow_up_timing", "objection_type", "recommended_response")
-        return F.struct(
-            *[F.lit(v).cast("string").alias(f) for f, v in zip(fields, rules.COARSE_OUTCOMES[name], strict=True)]
-        )
-
-    return first_match(
-        [
-            (text.blank_to_null(message).isNull(), outcome("blank")),
-            (contains_any(lowered, rules.COARSE_HARD_NO), outcome("hard_no")),
-            (contains_any(lowered, rules.COARSE_BUYING), outcome("buying")),
-            (contains_any(lowered, rules.COARSE_OBJECTION), outcome("objection")),
-        ],
-        outcome("unclear"),
+    kinds = list(rules.COARSE_OUTCOMES)
+    fields = ("reply_type", "follow_up_timing", "objection_type", "recommended_response")
+    tests = [
+        text.blank_to_null(message).isNull(),
+        contains_any("_said", rules.COARSE_HARD_NO),
+        contains_any("_said", rules.COARSE_BUYING),
+        contains_any("_said", rules.COARSE_OBJECTION),
+    ]
+    numbered = leads.withColumn("_said", F.lower(message)).withColumn(
+        "_number", first_match(((test, i) for i, test in enumerate(tests)), kinds.index("unclear"))
     )
+    answers = zip(*rules.COARSE_OUTCOMES.values(), strict=True)
+    return numbered.withColumn(
+        "coarse", F.struct(*[pick(a, "_number").alias(f) for f, a in zip(fields, answers, strict=True)])
+    ).drop("_said", "_number")
 
 
 def note_hints(notes: ColumnLike, brand: rules.Brand = rules.Brand()) -> Column:

@@ -27,8 +27,8 @@ SHOP_MESSAGE_COLUMNS = (
 )
 
 
-def day_mentioned(message: Column, whole_words: bool = False) -> Column:
-    """Weekday named in a message.
+def day_mentioned(message: str, whole_words: bool = False) -> Column:
+    """Weekday named in a column of lower-case messages.
 
     By default a word counts anywhere, so "mon" is found in "month"; with
     ``whole_words`` it must stand alone.
@@ -95,7 +95,7 @@ def _templates(channel: str, whole_words: bool) -> list[tuple[Column, str, tuple
     ]
     other_tests = {"hot": reply == "hot", "hold": stage == "Hold", "default": F.lit(True)}
     for name, phrases, if_known, if_unknown, action, follow_up in rules.CONVERSATION_DRAFTS:
-        test = other_tests[name] if phrases is None else contains_any(message, phrases, whole_words)
+        test = other_tests[name] if phrases is None else contains_any("_said", phrases, whole_words)
         if if_unknown is not None:
             cases.append((test & known, name, (if_known, action, follow_up)))
         cases.append((test, name, (if_unknown or if_known, action, follow_up)))
@@ -119,7 +119,7 @@ def with_draft(
             "_contact": F.coalesce("email", "phone"),
             "_meeting": F.coalesce(F.col("stage") == "Meeting Booked", F.lit(False)),
         }
-    ).withColumn("_day", day_mentioned(F.col("_said"), whole_words))
+    ).withColumn("_day", day_mentioned("_said", whole_words))
     cases = _templates(channel, whole_words)
     numbered = prepared.withColumn(
         "_number", first_match(((test, number) for number, (test, _, _) in enumerate(cases)))

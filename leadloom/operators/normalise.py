@@ -31,8 +31,8 @@ def normalise_leads(raw: DataFrame, as_of: date, strict_map: bool = False) -> Da
     Three stacked projections: trim, blank to null, convert.  Each value is
     computed once and stays inside one code generation stage.
     """
-    trimmed = raw.select(*[text.strip(F.col(name).cast("string")).alias(name) for name in RAW_COLUMNS])
-    present = trimmed.select(*[text.present(name).alias(name) for name in RAW_COLUMNS])
+    trimmed = raw.selectExpr(*[f"{text.strip_sql(f'CAST({name} AS STRING)')} AS {name}" for name in RAW_COLUMNS])
+    present = trimmed.selectExpr(*[f"{text.present_sql(name)} AS {name}" for name in RAW_COLUMNS])
     parsed = present.withColumns(
         {name: text.number_of(name) for name in NUMBER_COLUMNS}
         | {
