@@ -91,13 +91,13 @@ def _one_round(undecided: DataFrame) -> DataFrame:
     firsts = members.groupBy("key").agg(
         F.min(F.struct(*ORDER, "n_keys")).alias("first")
     ).select("key", F.col("first.row_id").alias("owner"), F.col("first.n_keys").alias("n_keys"))
-    winners = (
+    # A row owns at most as many keys as there are kinds, so the list is short.
+    taken = (
         firsts.groupBy("owner", "n_keys")
-        .agg(F.count(F.lit(1)).alias("won"))
-        .where(F.col("won") == F.col("n_keys"))
-        .select("owner")
+        .agg(F.collect_list("key").alias("won"))
+        .where(F.size("won") == F.col("n_keys"))
+        .select("owner", F.explode("won").alias("key"))
     )
-    taken = firsts.join(winners, "owner", "left_semi").select("key", "owner")
     verdicts = (
         members.select("row_id", "key")
         .join(taken, "key")

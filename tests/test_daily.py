@@ -53,27 +53,29 @@ def draft(leads, channel="dm", **fields):
     return drafts.with_draft(rows, channel, BRAND).first()
 
 
-@pytest.mark.parametrize(("fields", "template", "follow_up"), [
-    ({"last_inbound_text": "how does payout work"}, "payout", "today"),
-    ({"last_inbound_text": "do you ship to eu?"}, "shipping", "today"),
-    ({"last_inbound_text": "do you take menswear too"}, "brands", "today"),
-    ({"last_inbound_text": "send me the bundle list"}, "bundle", "today"),
-    ({"last_inbound_text": "yeah keen, drop details"}, "hot", "today"),
-    ({"last_inbound_text": "we already sell on vinted."}, "misunderstanding", "today"),
-    ({"last_inbound_text": "already on another platform tbh"}, "platform", "today"),
-    ({"last_inbound_text": "maybe next month"}, "timing", "30_days"),
-    ({"last_inbound_text": "not interested right now"}, "soft_no", "30_days"),
-    ({"last_inbound_text": "need to think about it"}, "hold", "14_days"),
-    ({"last_inbound_text": "unsubscribe"}, "hard_no", "never"),
-    ({"last_inbound_text": "can you do a call fri?"}, "meeting_day", "today"),
-    ({"last_inbound_text": "ok sounds good when can we talk"}, "meeting_open", "today"),
-    ({"last_inbound_text": "mornings best"}, "meeting_vague", "today"),
-    ({"num_touches": "0"}, "cold", "7_days"),
-])
-def test_templates(leads, fields, template, follow_up):
-    row = draft(leads, handle="@cinder", **fields)
-    assert (row.template, row.follow_up_date) == (template, follow_up)
-    assert "{" not in row.drafted_message and "\x02" not in row.drafted_message
+def test_templates(leads):
+    cases = [
+        ({"last_inbound_text": "how does payout work"}, "payout", "today"),
+        ({"last_inbound_text": "do you ship to eu?"}, "shipping", "today"),
+        ({"last_inbound_text": "do you take menswear too"}, "brands", "today"),
+        ({"last_inbound_text": "send me the bundle list"}, "bundle", "today"),
+        ({"last_inbound_text": "yeah keen, drop details"}, "hot", "today"),
+        ({"last_inbound_text": "we already sell on vinted."}, "misunderstanding", "today"),
+        ({"last_inbound_text": "already on another platform tbh"}, "platform", "today"),
+        ({"last_inbound_text": "maybe next month"}, "timing", "30_days"),
+        ({"last_inbound_text": "not interested right now"}, "soft_no", "30_days"),
+        ({"last_inbound_text": "need to think about it"}, "hold", "14_days"),
+        ({"last_inbound_text": "unsubscribe"}, "hard_no", "never"),
+        ({"last_inbound_text": "can you do a call fri?"}, "meeting_day", "today"),
+        ({"last_inbound_text": "ok sounds good when can we talk"}, "meeting_open", "today"),
+        ({"last_inbound_text": "mornings best"}, "meeting_vague", "today"),
+        ({"num_touches": "0"}, "cold", "7_days"),
+    ]
+    rows = [{"handle": "@cinder", **fields, "lead_id": f"L{i:03d}"} for i, (fields, *_) in enumerate(cases)]
+    drafted = drafts.with_draft(classified_leads(leads(*rows), RUN), "dm", BRAND).orderBy("lead_id").collect()
+    for row, (fields, template, follow_up) in zip(drafted, cases, strict=True):
+        assert (row.template, row.follow_up_date) == (template, follow_up), fields
+        assert "{" not in row.drafted_message and "\\x02" not in row.drafted_message
 
 
 def test_known_contact_is_used(leads):

@@ -53,7 +53,7 @@ def random_rows(seed, n, values):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "n", "values"), [(1, 60, 25), (2, 150, 60), (3, 150, 20), (4, 300, 300)])
+@pytest.mark.parametrize(("seed", "n", "values"), [(1, 60, 25), (2, 300, 120), (3, 150, 20)])
 def test_equals_the_walk_row_by_row(leads, seed, n, values):
     rows = random_rows(seed, n, values)
     assert kept_ids(leads(*rows))[0] == walk(rows)

@@ -11,8 +11,15 @@ from leadloom.schema import CLEAN_COLUMNS, RAW_COLUMNS
 AS_OF = date(2026, 6, 30)
 
 
+def classified(leads, cases, **common):
+    """Classified row of each case's fields (its first element), in one job."""
+    rows = [{**common, **fields, "lead_id": f"L{i:03d}"} for i, (fields, *_) in enumerate(cases)]
+    found = {r.lead_id: r for r in classified_leads(leads(*rows), AS_OF).collect()}
+    return [(found[f"L{i:03d}"], *case) for i, case in enumerate(cases)]
+
+
 def one(leads, **fields):
-    return classified_leads(leads({"lead_id": "L1", **fields}), AS_OF).first()
+    return classified(leads, [(fields,)])[0][0]
 
 
 KNOWN = (
@@ -30,105 +37,108 @@ def test_every_known_message_has_its_meaning(spark):
         assert (row.meaning.stage, row.meaning.reply_type, row.meaning.layer) == (row.s, row.r, 1)
 
 
-@pytest.mark.parametrize(("message", "stage", "reply", "layer"), [
-    ("please stop messaging me on monday", "Lost", "cold", 2),
-    ("maybe thursday", "Meeting Booked", "hot", 2),
-    ("too busy, maybe", "Hold", "warm", 2),
-    ("perhaps", "Replied", "warm", 2),
-    ("any brochure?", "Replied", "hot", 2),
-    ("no idea what this is about", "Replied", "hot", 3),
-    (None, None, "amber", 0),
-])
-def test_phrases_in_order(spark, message, stage, reply, layer):
-    rows = spark.createDataFrame([(message,)], "last_inbound_text string")
-    assert tuple(classify.classify_messages(rows).first().meaning) == (stage, reply, layer)
-
-
-@pytest.mark.parametrize(("fields", "stage", "overridden"), [
-    ({"stage": "won", "num_touches": "6", "est_monthly_spend_gbp": "£160"}, "Hold", True),
-    ({"stage": "won", "num_touches": "2", "est_monthly_spend_gbp": "1000"}, "Won", False),
-    ({"stage": "won", "last_inbound_text": "can you call back"}, "Replied", True),
-    ({"stage": "won", "last_inbound_text": "thanks a lot"}, "Won", False),
-    ({"stage": "lost", "last_inbound_text": "do you ship to EU"}, "Replied", True),
-    ({"stage": "call-booked", "last_inbound_text": "Too busy this season, try later."}, "Hold", True),
-    ({"stage": "new", "last_inbound_text": "maybe thursday"}, "Hold", True),
-    ({"stage": "new", "last_inbound_text": "Owner is back next week, call then."}, "Hold", True),
-    ({"stage": "hold", "last_inbound_text": "maybe"}, "Hold", False),
-    ({"stage": "lost", "last_inbound_text": "unsubscribe"}, "Lost", False),
-    ({"stage": "replied", "num_touches": "0"}, "New", True),
-    ({"stage": "replied", "num_touches": "3"}, "Contacted", True),
-    ({"stage": "negotiating"}, "New", True),
-    ({"stage": "negotiating", "last_inbound_text": "hmm"}, "Replied", True),
-    ({"stage": "new", "num_touches": "1"}, "Contacted", True),
-    ({"stage": "new"}, "New", False),
-    ({"stage": "lost", "num_touches": "1", "est_monthly_spend_gbp": "3000"}, "Hold", True),
-    ({"stage": "lost", "num_touches": "5", "est_monthly_spend_gbp": "9000"}, "Lost", False),
-    ({"stage": "lost", "num_touches": "4", "est_monthly_spend_gbp": "5000"}, "Hold", True),
-    ({"stage": "lost", "num_touches": "4", "est_monthly_spend_gbp": "4999"}, "Lost", False),
-    ({"stage": "lost", "last_inbound_text": "okay"}, "Hold", True),
-    ({"stage": "lost", "last_inbound_text": "ok"}, "Lost", False),
-    ({"stage": "contacted", "last_inbound_text": "who is this"}, "Replied", True),
-    ({"stage": "contacted", "last_inbound_text": "ok"}, "Contacted", False),
-    ({"stage": "call booked"}, "Meeting Booked", False),
-])
-def test_stage_reconciliation(leads, fields, stage, overridden):
-    row = one(leads, **fields)
-    assert (row.stage, row.stage_overridden) == (stage, overridden)
-
-
-@pytest.mark.parametrize(("fields", "reply", "overdue"), [
-    ({"num_touches": "0"}, "new", False),
-    ({"num_touches": "0", "notes": "met"}, "amber", False),
-    ({"num_touches": "1"}, "amber", False),
-    ({"last_inbound_text": "perhaps", "stage": "won", "last_touch_date": "2026-06-01"}, "warm", False),
-    ({"last_inbound_text": "whats your commission?", "last_touch_date": "2026-06-22"}, "hot", True),
-    ({"last_inbound_text": "whats your commission?", "last_touch_date": "2026-06-23"}, "hot", False),
-    ({"last_inbound_text": "whats your commission?", "last_touch_date": "2024-06-30"}, "hot", False),
-    ({"last_inbound_text": "whats your commission?", "last_touch_date": "2026-07-20"}, "hot", False),
-    ({"last_inbound_text": "unsubscribe", "last_touch_date": "2026-06-01"}, "cold", False),
-])
-def test_reply_types(leads, fields, reply, overdue):
-    row = one(leads, **fields)
-    assert (row.reply_type, row.overdue) == (reply, overdue)
-
-
-@pytest.mark.parametrize(("fields", "kind"), [
-    ({"followers": "10", "city": "Leeds", "handle": "@ab"}, "hybrid"),
-    ({"followers": "10", "handle": "@ab"}, "reseller"),
-    ({"sales_velocity_30d": "3", "email": "a@b.com"}, "reseller_with_email"),
-    ({"sales_velocity_30d": "3", "email": "a@@b.com"}, "reseller"),
-    ({"followers": "0", "sales_velocity_30d": "nan", "handle": "@ab"}, "physical_shop"),
-    ({"followers": "5", "handle": "@ab", "email": "x@shop.co.uk"}, "hybrid"),  # the mail moves it to London
-])
-def test_lead_types(leads, fields, kind):
-    assert one(leads, **fields).lead_type == kind
-
-
-@pytest.mark.parametrize(("fields", "city", "country", "warned"), [
-    ({"email": "a@b.co.uk", "country": "US", "phone": "+1 (878) 1"}, "London", "UK", True),
-    ({"email": "a@b.co.uk", "city": "leeds", "phone": "001-878"}, "leeds", "UK", True),
-    ({"email": "a@b.co.uk", "country": "United Kingdom", "city": "York"}, "York", "United Kingdom", False),
-    ({"store_name": "Camden Rail", "city": "Austin", "country": "US"}, "London", "UK", False),
-    ({"store_name": "Leeds Brick Lane", "country": "UK", "phone": "+1 878"}, "London", "UK", False),
-    ({"store_name": "Shop", "country": "uk"}, None, "uk", False),
-])
-def test_geography(leads, fields, city, country, warned):
-    row = one(leads, notes="seen", **fields)
-    assert (row.city, row.country) == (city, country)
-    assert row.notes == (f"{rules.PHONE_COUNTRY_WARNING} seen" if warned else "seen")
+def test_phrases_in_order(spark):
+    cases = [
+        ("please stop messaging me on monday", "Lost", "cold", 2),
+        ("maybe thursday", "Meeting Booked", "hot", 2),
+        ("too busy, maybe", "Hold", "warm", 2),
+        ("perhaps", "Replied", "warm", 2),
+        ("any brochure?", "Replied", "hot", 2),
+        ("no idea what this is about", "Replied", "hot", 3),
+        (None, None, "amber", 0),
+    ]
+    rows = spark.createDataFrame([(m,) for m, *_ in cases], "last_inbound_text string")
+    got = {r.last_inbound_text: tuple(r.meaning) for r in classify.classify_messages(rows).collect()}
+    assert got == {message: tuple(meaning) for message, *meaning in cases}
+
+
+def test_stage_reconciliation(leads):
+    cases = [
+        ({"stage": "won", "num_touches": "6", "est_monthly_spend_gbp": "£160"}, "Hold", True),
+        ({"stage": "won", "num_touches": "2", "est_monthly_spend_gbp": "1000"}, "Won", False),
+        ({"stage": "won", "last_inbound_text": "can you call back"}, "Replied", True),
+        ({"stage": "won", "last_inbound_text": "thanks a lot"}, "Won", False),
+        ({"stage": "lost", "last_inbound_text": "do you ship to EU"}, "Replied", True),
+        ({"stage": "call-booked", "last_inbound_text": "Too busy this season, try later."}, "Hold", True),
+        ({"stage": "new", "last_inbound_text": "maybe thursday"}, "Hold", True),
+        ({"stage": "new", "last_inbound_text": "Owner is back next week, call then."}, "Hold", True),
+        ({"stage": "hold", "last_inbound_text": "maybe"}, "Hold", False),
+        ({"stage": "lost", "last_inbound_text": "unsubscribe"}, "Lost", False),
+        ({"stage": "replied", "num_touches": "0"}, "New", True),
+        ({"stage": "replied", "num_touches": "3"}, "Contacted", True),
+        ({"stage": "negotiating"}, "New", True),
+        ({"stage": "negotiating", "last_inbound_text": "hmm"}, "Replied", True),
+        ({"stage": "new", "num_touches": "1"}, "Contacted", True),
+        ({"stage": "new"}, "New", False),
+        ({"stage": "lost", "num_touches": "1", "est_monthly_spend_gbp": "3000"}, "Hold", True),
+        ({"stage": "lost", "num_touches": "5", "est_monthly_spend_gbp": "9000"}, "Lost", False),
+        ({"stage": "lost", "num_touches": "4", "est_monthly_spend_gbp": "5000"}, "Hold", True),
+        ({"stage": "lost", "num_touches": "4", "est_monthly_spend_gbp": "4999"}, "Lost", False),
+        ({"stage": "lost", "last_inbound_text": "okay"}, "Hold", True),
+        ({"stage": "lost", "last_inbound_text": "ok"}, "Lost", False),
+        ({"stage": "contacted", "last_inbound_text": "who is this"}, "Replied", True),
+        ({"stage": "contacted", "last_inbound_text": "ok"}, "Contacted", False),
+        ({"stage": "call booked"}, "Meeting Booked", False),
+    ]
+    for row, fields, stage, overridden in classified(leads, cases):
+        assert (row.stage, row.stage_overridden) == (stage, overridden), fields
+
+
+def test_reply_types(leads):
+    cases = [
+        ({"num_touches": "0"}, "new", False),
+        ({"num_touches": "0", "notes": "met"}, "amber", False),
+        ({"num_touches": "1"}, "amber", False),
+        ({"last_inbound_text": "perhaps", "stage": "won", "last_touch_date": "2026-06-01"}, "warm", False),
+        ({"last_inbound_text": "whats your commission?", "last_touch_date": "2026-06-22"}, "hot", True),
+        ({"last_inbound_text": "whats your commission?", "last_touch_date": "2026-06-23"}, "hot", False),
+        ({"last_inbound_text": "whats your commission?", "last_touch_date": "2024-06-30"}, "hot", False),
+        ({"last_inbound_text": "whats your commission?", "last_touch_date": "2026-07-20"}, "hot", False),
+        ({"last_inbound_text": "unsubscribe", "last_touch_date": "2026-06-01"}, "cold", False),
+    ]
+    for row, fields, reply, overdue in classified(leads, cases):
+        assert (row.reply_type, row.overdue) == (reply, overdue), fields
+
+
+def test_lead_types(leads):
+    cases = [
+        ({"followers": "10", "city": "Leeds", "handle": "@ab"}, "hybrid"),
+        ({"followers": "10", "handle": "@ab"}, "reseller"),
+        ({"sales_velocity_30d": "3", "email": "a@b.com"}, "reseller_with_email"),
+        ({"sales_velocity_30d": "3", "email": "a@@b.com"}, "reseller"),
+        ({"followers": "0", "sales_velocity_30d": "nan", "handle": "@ab"}, "physical_shop"),
+        ({"followers": "5", "handle": "@ab", "email": "x@shop.co.uk"}, "hybrid"),  # the mail moves it to London
+    ]
+    for row, fields, kind in classified(leads, cases):
+        assert row.lead_type == kind, fields
+
+
+def test_geography(leads):
+    cases = [
+        ({"email": "a@b.co.uk", "country": "US", "phone": "+1 (878) 1"}, "London", "UK", True),
+        ({"email": "a@b.co.uk", "city": "leeds", "phone": "001-878"}, "leeds", "UK", True),
+        ({"email": "a@b.co.uk", "country": "United Kingdom", "city": "York"}, "York", "United Kingdom", False),
+        ({"store_name": "Camden Rail", "city": "Austin", "country": "US"}, "London", "UK", False),
+        ({"store_name": "Leeds Brick Lane", "country": "UK", "phone": "+1 878"}, "London", "UK", False),
+        ({"store_name": "Shop", "country": "uk"}, None, "uk", False),
+    ]
+    for row, fields, city, country, warned in classified(leads, cases, notes="seen"):
+        assert (row.city, row.country) == (city, country), fields
+        assert row.notes == (f"{rules.PHONE_COUNTRY_WARNING} seen" if warned else "seen"), fields
 
 
 def test_warning_without_notes(leads):
     assert one(leads, email="a@b.co.uk", phone="+1 878").notes == rules.PHONE_COUNTRY_WARNING
 
 
-@pytest.mark.parametrize(("message", "kind"), [
-    ("we already sell on vinted.", "misunderstanding"), ("already on another platform tbh", "platform"),
-    ("too busy", "timing"), ("not interested right now", "soft_no"), ("maybe", "undecided"),
-    ("not taking on new channels currently.", "channel_objection"), ("hello", "none"), (None, "none"),
-])
-def test_objections(leads, message, kind):
-    assert one(leads, last_inbound_text=message).obj_type == kind
+def test_objections(leads):
+    cases = [
+        ("we already sell on vinted.", "misunderstanding"), ("already on another platform tbh", "platform"),
+        ("too busy", "timing"), ("not interested right now", "soft_no"), ("maybe", "undecided"),
+        ("not taking on new channels currently.", "channel_objection"), ("hello", "none"), (None, "none"),
+    ]
+    for row, fields, kind in classified(leads, [({"last_inbound_text": m}, k) for m, k in cases]):
+        assert row.obj_type == kind, fields
 
 
 def test_coarse_replies(spark):
