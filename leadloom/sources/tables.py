@@ -13,14 +13,18 @@ BATCH_COLUMN = "batch_id"
 FIRST_LOAD = "first_load"
 
 
-def read_leads_csv(spark: SparkSession, path: str) -> DataFrame:
+# Headers are checked in every file: a file with another column order is refused.
+CSV_OPTIONS = {"header": True, "nullValue": "", "quote": '"', "escape": '"', "enforceSchema": False}
+
+
+def read_leads_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header; every column is text, blanks are null.
 
-    Columns are found by name, because files may order them differently; missing
-    ones are null and additional ones are kept, as text, too.
+    Columns are found by name; missing ones are null and additional ones are
+    kept, as text, too.  Texts may contain line breaks, which makes one file one
+    task: for huge files without them pass ``multi_line=False``.
     """
-    found = spark.read.options(header=True, nullValue="", quote='"', escape='"', multiLine=True).csv(path)
-    return align_raw(found)
+    return align_raw(spark.read.options(multiLine=multi_line, **CSV_OPTIONS).csv(path))
 
 
 def read_leads_parquet(spark: SparkSession, path: str) -> DataFrame:

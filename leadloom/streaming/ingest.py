@@ -12,7 +12,7 @@ from leadloom import rules
 from leadloom.operators.batch import check_batch, clean_new_leads, new_rows, rejections
 from leadloom.schema import RAW_SCHEMA
 from leadloom.session import cut_lineage
-from leadloom.sources.tables import BATCH_COLUMN, append_to_base, base_exists, read_base
+from leadloom.sources.tables import BATCH_COLUMN, CSV_OPTIONS, append_to_base, base_exists, read_base
 
 
 def load_batch(
@@ -62,7 +62,7 @@ def ingest_stream(
     """
     reader = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files_per_batch)
     if file_format == "csv":
-        reader = reader.options(header=True, nullValue="")
+        reader = reader.options(multiLine=True, **CSV_OPTIONS)
 
     def load(incoming: DataFrame, batch_id: int) -> None:
         load_batch(incoming, base_path, rejections_path, f"stream-{batch_id}", as_of, within_batch, brand)

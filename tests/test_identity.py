@@ -73,14 +73,14 @@ def chain(length):
 
 
 def test_long_chain_is_finished_by_component(leads):
-    rows = chain(60)
+    rows = chain(30)
     got, result = kept_ids(leads(*rows), rounds_before_split=2)
     assert got == walk(rows)
     assert result.rounds == 3
 
 
 def test_chain_longer_than_the_component_limit(leads):
-    rows = chain(24)
+    rows = chain(16)
     got, result = kept_ids(leads(*rows), rounds_before_split=2, component_limit=5)
     assert got == walk(rows)
     assert result.rounds > 3
@@ -137,9 +137,9 @@ def test_nothing_to_do(leads):
 
 
 def test_components_of_a_shuffled_chain(spark):
-    order = list(range(40))
+    order = list(range(24))
     random.Random(5).shuffle(order)
-    rows = [(f"r{order[i]:03d}", [f"k{i}", f"k{i + 1}"]) for i in range(40)] + [("z", ["other"])]
+    rows = [(f"r{order[i]:03d}", [f"k{i}", f"k{i + 1}"]) for i in range(24)] + [("z", ["other"])]
     frame = spark.createDataFrame(rows, "row_id string, keys array<string>")
     found = identity.connected_components(frame).groupBy("component").agg(F.count("*").alias("n")).collect()
-    assert sorted(r.n for r in found) == [1, 40]
+    assert sorted(r.n for r in found) == [1, 24]

@@ -98,6 +98,23 @@ def test_csv_round_trip_keeps_text(spark, leads):
     assert tables.read_leads(spark, path, "csv").exceptAll(raw).isEmpty()
 
 
+def test_csv_columns_are_found_by_name(spark, leads):
+    path = scratch_path(spark, "csv")
+    raw = leads({"lead_id": "L1", "handle": "ab", "notes": "n"})
+    tables.write_leads(raw.select("notes", "handle", "lead_id"), path, "csv")
+    found = tables.read_leads(spark, path, "csv").first()
+    assert (found.lead_id, found.handle, found.notes, found.city) == ("L1", "ab", "n", None)
+
+
+def test_stream_reads_csv(spark, leads):
+    root = start(spark, leads)
+    tables.write_leads(leads(SAME, NEW), f"{root}/incoming", "csv")
+    ingest_stream(
+        spark, f"{root}/incoming", f"{root}/base", f"{root}/rejected", f"{root}/progress", AS_OF, file_format="csv"
+    ).awaitTermination()
+    assert tables.read_base(spark, f"{root}/base").count() == 2
+
+
 def test_append_to_clean_keeps_the_columns(leads):
     clean = clean_leads(leads(OLD), AS_OF)
     new = batch.clean_new_leads(leads(NEW), AS_OF)
