@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +51,15 @@ def repaired(spark: SparkSession, folder: str) -> DataFrame:
 def clean(spark: SparkSession, folder: str) -> DataFrame:
     """The clean table, written by the first query that needs it."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _written:
-        path = scratch_path(spark, "clean")
-        tables.write_leads(clean_plan.clean_leads(raw(spark, folder), AS_OF), path)
-        _written[key] = path
-    return spark.read.parquet(_written[key])
+    if key in _written:
+        try:
+            return spark.read.parquet(_written[key])
+        except AnalysisException:  # the shared folder was cleaned meanwhile
+            del _written[key]
+    path = scratch_path(spark, "clean")
+    tables.write_leads(clean_plan.clean_leads(raw(spark, folder), AS_OF), path)
+    _written[key] = path
+    return spark.read.parquet(path)
 
 
 def checked(spark: SparkSession, folder: str) -> DataFrame:

@@ -86,25 +86,31 @@ def key_rows(leads: DataFrame) -> DataFrame:
 
 
 def _one_round(undecided: DataFrame) -> DataFrame:
-    """Undecided rows with ``kept`` true, false or null (not decided yet)."""
+    """Undecided rows with ``kept`` true, false or null (not decided yet).
+
+    A key that only one row has drops nobody, so only the taken keys that are
+    shared meet the rows again.
+    """
     members = undecided.select(*ORDER, F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
     firsts = members.groupBy("key").agg(
-        F.min(F.struct(*ORDER, "n_keys")).alias("first")
-    ).select("key", F.col("first.row_id").alias("owner"), F.col("first.n_keys").alias("n_keys"))
+        F.min(F.struct(*ORDER, "n_keys")).alias("first"), (F.count(F.lit(1)) > 1).alias("shared")
+    ).select("key", "shared", F.col("first.row_id").alias("owner"), F.col("first.n_keys").alias("n_keys"))
     # A row owns at most as many keys as there are kinds, so the list is short.
-    taken = (
+    winners = (
         firsts.groupBy("owner", "n_keys")
-        .agg(F.collect_list("key").alias("won"))
+        .agg(F.collect_list(F.struct("key", "shared")).alias("won"))
         .where(F.size("won") == F.col("n_keys"))
-        .select("owner", F.explode("won").alias("key"))
     )
-    verdicts = (
+    taken = winners.select("owner", F.inline("won")).where("shared").select("owner", "key")
+    dropped = (
         members.select("row_id", "key")
         .join(taken, "key")
+        .where(F.col("owner") != F.col("row_id"))
         .groupBy("row_id")
-        .agg(F.bool_or(F.col("owner") == F.col("row_id")).alias("kept"))
+        .agg(F.lit(False).alias("kept"))
     )
-    return undecided.join(verdicts, "row_id", "left")
+    kept = winners.select(F.col("owner").alias("row_id"), F.lit(True).alias("kept"))
+    return undecided.join(kept.unionByName(dropped), "row_id", "left")
 
 
 def connected_components(rows: DataFrame) -> DataFrame:
