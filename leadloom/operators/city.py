@@ -121,9 +121,8 @@ def recommendation(scored: DataFrame, as_of: date) -> DataFrame:
 def visit_action() -> Column:
     stage, reply, spend = F.col("stage"), F.col("reply_type"), F.col("est_monthly_spend_gbp")
     high, mid = spend >= rules.HIGH_VALUE_SPEND, spend >= rules.MID_VALUE_SPEND
-    say = {
-        name: fill(template, spend=text.format_gbp(spend)) for name, template in rules.VISIT_ACTIONS.items()
-    }
+    amount = text.format_gbp(spend)
+    say = {name: fill(template, spend=amount) for name, template in rules.VISIT_ACTIONS.items()}
     return first_match(
         [
             (stage == "Meeting Booked", say["meeting"]),

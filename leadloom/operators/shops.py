@@ -31,10 +31,8 @@ def recommended_action(brand: rules.Brand = rules.Brand()) -> Column:
     said = F.lower(F.coalesce("last_inbound_text", F.lit("")))
     uk = text.is_uk("country")
     high = spend >= rules.HIGH_VALUE_SPEND
-    say = {
-        name: fill(brand.apply(template), spend=text.format_gbp(spend))
-        for name, template in rules.SHOP_ACTIONS.items()
-    }
+    amount = text.format_gbp(spend)
+    say = {name: fill(brand.apply(template), spend=amount) for name, template in rules.SHOP_ACTIONS.items()}
     replied_uk = (stage == "Replied") & uk
     return first_match(
         [
