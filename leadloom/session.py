@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,9 +29,31 @@ def local_session(cpus: int | str = "*", app_name: str = "leadloom", **settings:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Needed where the package is not installed on the executors; installed copies are
+    the same files, so sending them does no harm.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_leadloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="leadloom-"), "leadloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    context._leadloom_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from the session's checkpoint setting.
 
