@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, chat, contamination, crossparse, edits, hamming, kdtree, pii, quality
+from leadloom.llm import bpe, chat, contamination, crossparse, edits, hamming, jaccard, kdtree, pii, quality
 from leadloom.llm.common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -59,6 +59,11 @@ def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document that shingle overlap links it with."""
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -91,6 +96,7 @@ QUERIES = {
         op5_personal_data,
         op6_byte_bpe_round_trip,
         op7_perspective_rotation,
+        op8_ngram_jaccard_join,
         op9_language,
         op10_quality,
     )
