@@ -1,14 +1,16 @@
 """N-gram Jaccard join: token-combination prefixes, verification, components.
 
 A document's tokens are its distinct word shingles.  All tokens have one order, rare class
-before frequent class and by hash within a class.  Two documents that are similar enough
-miss no more than ``n - ceil(threshold * n)`` tokens of either, so they must share
+before frequent class and by hash within a class.  Of a document with ``n`` tokens, any
+similar one misses ``n - ceil(threshold * n)`` at most, its *slack*.  Every document is
+indexed by a prefix of its tokens that is ``extra`` tokens longer than its slack:
 
-* one of that many plus one first tokens, if those are rare: they are indexed alone;
-* where a document has fewer rare tokens, its prefix goes on into the frequent class:
-  frequent tokens are dealt to subclasses, and combinations of two tokens of a subclass
-  are indexed.  A subclass of which m tokens are in the prefix vouches for m - 1 tokens,
-  and the prefix is extended until rare tokens and subclasses vouch for enough.
+* where rare tokens suffice they are indexed alone, and two such documents share
+  ``extra`` of them, so a document of which fewer are shared with anybody is out;
+* where they do not, the prefix goes on into the frequent class: frequent tokens are dealt
+  to subclasses, and combinations of two tokens of a subclass are indexed.  A subclass of
+  which m tokens are in the prefix vouches for m - 1 tokens, and the prefix is extended
+  until rare tokens and subclasses vouch for enough, or to the whole set.
 
 The number of subclasses follows the power of two below the size; a document is indexed
 for its own power and the next, since similar documents are at most one apart.  Which
@@ -21,8 +23,8 @@ share give candidates, in rounds: all classes of a signature are compared with o
 them, which then leaves it; pairs within one component need no comparison.  As soon as
 the pairs left are no more than a few for each row, they are all compared.  So a group of
 copies of any size costs rows in proportion, and no pair in different components is left
-out.  A comparison first bounds the overlap by sizes and by the parities of 512 token
-buckets, then counts it exactly on the token codes (64 bits).
+out.  A comparison first bounds the overlap by sizes and by the parities of token buckets, about
+one for each token, then counts it exactly on the token codes (64 bits).
 
 Defined results: a text of fewer words than a shingle is one token; null and empty texts
 have none and are linked with nothing; rows with the same id are one document, linked as
@@ -49,7 +51,10 @@ SHARE = 75
 FREQUENT = 200_000
 LOCAL = 4
 OFTEN = 64
+#: Least number of parities of a set; larger sets have as many as the power of two from their size up.
 PARITIES = 512
+#: A document is indexed by one in so many of its tokens more than its slack.
+EXTRA = 20
 #: All pairs that are left are compared once they are no more than this for each row that was open at first.
 PAIRS_PER_ROW = 2
 
@@ -135,68 +140,108 @@ def combinations(frequent: np.ndarray, missing: int, power: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def signatures(tokens: np.ndarray, known: np.ndarray, share: int = SHARE) -> np.ndarray:
-    """What a set is indexed by; ``tokens`` and ``known`` are sorted."""
+def extra(n: int) -> int:
+    """Tokens by which the prefix of ``n`` tokens exceeds the slack."""
+    return max(1, n // EXTRA)
+
+
+def signatures(tokens: np.ndarray, known: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, int]:
+    """What a set is indexed by, and how much of it must be shared; ``tokens`` and ``known`` are sorted."""
     n = len(tokens)
-    need = n - needed(n, share) + 1
+    need = n - needed(n, share) + extra(n)
     often = _is_in(tokens, known)
     rare = tokens[~often]
     if len(rare) >= need:
-        return rare[:need]
+        # The other document of a pair may have the shorter prefix, and then its extra counts.
+        return rare[:need], extra(needed(n, share))
     power = n.bit_length() - 1
     parts = [combinations(tokens[often], need - len(rare), p) for p in (power, power + 1)]
-    return np.unique(np.concatenate([rare, *parts]))
+    return np.unique(np.concatenate([rare, *parts])), 1
 
 
 def parities(tokens: np.ndarray) -> bytes:
-    """For each of ``PARITIES`` buckets, whether it holds an odd number of tokens."""
-    counts = np.bincount((mixed(tokens) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    """For each of a power of two of buckets, whether it holds an odd number of tokens."""
+    buckets = PARITIES
+    while buckets < len(tokens):
+        buckets *= 2
+    counts = np.bincount((mixed(tokens) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def apart(one: bytes, other: bytes) -> int:
+    """Tokens that two sets cannot share, at least: buckets whose parities differ."""
+    x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):  # half the buckets: each is two of before
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def signed(docs: DataFrame, known: np.ndarray, share: int = SHARE, text: str = "text") -> DataFrame:
-    """node, n, parity and signatures of each non-empty set."""
+    """node, n, least (signatures that must be shared), parity and signatures of each non-empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in in_batches(batches, 1000):
             sets = [shingles(x, codes) for x in column_or(batch, text)]
+            signs = [signatures(s, known, share) if len(s) else (s, 1) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int32()),
+                    pa.array([least for _, least in signs], pa.int32()),
                     pa.array([parities(s) for s in sets], pa.binary()),
-                    pa.array([signatures(s, known, share).view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+                    pa.array([own.view(np.int64) for own, _ in signs], pa.list_(pa.int64())),
                 ],
-                names=["node", "n", "parity", "signatures"],
+                names=["node", "n", "least", "parity", "signatures"],
             )
 
     return docs.select(F.col("doc_id").cast("bigint").alias("node"), text).mapInArrow(
-        run, "node bigint, n int, parity binary, signatures array<bigint>"
+        run, "node bigint, n int, least int, parity binary, signatures array<bigint>"
     )
 
 
+def shared_rows(index: DataFrame) -> DataFrame:
+    """signature and node wherever a signature has several nodes and a node has enough of those."""
+    rows = index.select("node", "least", F.explode("signatures").alias("signature"))
+    while True:
+        several = rows.groupBy(F.col("signature").alias("key")).agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > 1).select("key")
+        met = cut_lineage(rows.join(several, F.col("signature") == F.col("key")).select("node", "least", "signature"))
+        enough = (
+            met.groupBy(F.col("node").alias("of"))
+            .agg(F.count(F.lit(1)).alias("held"), F.max("least").alias("must"))
+            .filter(F.col("held") >= F.col("must"))
+            .select("of")
+        )
+        rows = cut_lineage(met.join(enough, F.col("node") == F.col("of"), "left_semi"))
+        # What was dropped may leave others with too little; stop when hardly anything changes.
+        if rows.count() >= 0.9 * met.count():
+            return rows.select("signature", "node")
+
+
 # ---------------------------------------------------------------- verification
 
 
 def _sized(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
     """Pairs whose sizes and parities allow a link."""
-    a = sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("parity_a"))
-    b = sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("parity_b"))
-    near = pairs.join(a, "a").join(b, "b").filter((F.col("n_a") * 100 >= F.col("n_b") * share) & (F.col("n_b") * 100 >= F.col("n_a") * share))
+    n_a = sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
+    n_b = sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
+    alike = (F.col("n_a") * 100 >= F.col("n_b") * share) & (F.col("n_b") * 100 >= F.col("n_a") * share)
+    near = cut_lineage(pairs.join(n_a, "a").join(n_b, "b").filter(alike).select("a", "b", "n_a", "n_b"))
+    parity_a = sizes.select(F.col("node").alias("a"), F.col("parity").alias("parity_a"))
+    parity_b = sizes.select(F.col("node").alias("b"), F.col("parity").alias("parity_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3)
-            )
-            apart = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
+            differ = np.array([apart(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)], np.int64)
             total = np.asarray(batch.column(4), np.int64) + np.asarray(batch.column(5), np.int64)
-            # 100 * both >= share * union and union = both + apart bound what is not shared.
-            keep = apart * (100 + share) <= total * (100 - share)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
+            # 100 * both >= share * union, union = both + what is not shared, 2 * both = total - what is not shared.
+            keep = differ * (100 + share) <= total * (100 - share)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    return near.select("a", "b", "parity_a", "parity_b", "n_a", "n_b").mapInArrow(run, "a bigint, b bigint")
+    both = near.join(parity_a, "a").join(parity_b, "b").select("a", "b", "parity_a", "parity_b", "n_a", "n_b")
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def _token_table(docs: DataFrame, text: str) -> DataFrame:
@@ -209,13 +254,12 @@ def _token_table(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("node"), text).mapInArrow(run, "node bigint, tokens binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, share: int, text: str = "text") -> DataFrame:
+def verified(pairs: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) that share enough tokens."""
-    pairs = cut_lineage(pairs)
-    nodes = cut_lineage(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    tokens = cut_lineage(_token_table(docs.join(nodes, docs["doc_id"] == nodes["id"], "left_semi"), text))
-    both = pairs.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(
-        tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b"
+    both = (
+        cut_lineage(pairs)
+        .join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a")
+        .join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,10 +281,10 @@ def linked(docs: DataFrame, copies: DataFrame, known: np.ndarray, share: int = S
     """node and root of every class that is linked with another; ``copies`` (doc_id) play no part."""
     classes = docs.join(copies, "doc_id", "left_anti").filter(F.col("doc_id").isNotNull())
     index = cut_lineage(signed(classes, known, share, text))
-    sizes = index.select("node", "n", "parity")
-    rows = index.select("node", F.explode("signatures").alias("signature"))
-    shared = rows.groupBy(F.col("signature").alias("key")).agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > 1).select("key")
-    members = cut_lineage(rows.join(shared, F.col("signature") == F.col("key")).select("signature", "node"))
+    members = shared_rows(index)
+    nodes = cut_lineage(members.select("node").distinct())
+    sizes = cut_lineage(index.join(nodes, "node", "left_semi").select("node", "n", "parity"))
+    tokens = cut_lineage(_token_table(classes.join(nodes, F.col("doc_id") == F.col("node"), "left_semi"), text))
     roots, bound = None, None
     while True:
         named = members if roots is None else members.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
@@ -278,7 +322,7 @@ def linked(docs: DataFrame, copies: DataFrame, known: np.ndarray, share: int = S
             hubs = open_.join(hub_root, (F.col("key") == F.col("key_b")) & (F.col("hub") == F.col("b"))).select("key_b", "b", "root_b")
             met = named.join(hubs, F.col("signature") == F.col("key_b")).filter(F.col("root") != F.col("root_b"))
             pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        links = verified(_sized(pairs, sizes, share), docs.join(copies, "doc_id", "left_anti"), share, text)
+        links = verified(_sized(pairs, sizes, share), tokens, share)
         known_links = links if roots is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = cut_lineage(connected(known_links))
         if last:
