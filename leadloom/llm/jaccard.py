@@ -18,13 +18,16 @@ tokens are frequent is a hint that changes cost, never results: it is the list o
 ``FREQUENT`` tokens that were counted most often, of those met ``LOCAL`` times or more among
 neighbouring documents.
 
-Equal sets are one class, represented by its smallest id.  Signatures that two classes
-share give candidates, in rounds: all classes of a signature are compared with one of
-them, which then leaves it; pairs within one component need no comparison.  As soon as
-the pairs left are no more than a few for each row, they are all compared.  So a group of
-copies of any size costs rows in proportion, and no pair in different components is left
-out.  A comparison first bounds the overlap by sizes and by the parities of token buckets, about
-one for each token, then counts it exactly on the token codes (64 bits).
+Equal sets are one class, represented by its smallest id.  Signatures of up to
+``BUCKET`` classes give all their pairs as candidates.  The classes of larger ones are
+gathered in clusters of shared large signatures, cut into blocks by size, and blocks are
+compared by arrays: what leaves a block pair are the closest candidates of each class in
+other components, a few at first.  Links are counted, components formed, and only block
+pairs that held back candidates are compared again, each time giving sixteen times as many,
+until none holds back any.  So a group of copies of any size costs rows in proportion, and
+no pair in different components is left out.  Candidates must allow a link by their sizes
+and by the parities of token buckets, at least four for each token; the overlap is then
+counted exactly on the token codes (64 bits).
 
 Defined results: a text of fewer words than a shingle is one token; null and empty texts
 have none and are linked with nothing; rows with the same id are one document, linked as
@@ -37,12 +40,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadloom.llm.common import WordCodes, column_or, in_batches, mixed, shingles
 from leadloom.llm.components import components as connected
+from leadloom.operators.ranking import with_position
 from leadloom.session import cut_lineage
 
 #: Links need ``SHARE`` hundredths of the union in common.
@@ -51,12 +56,15 @@ SHARE = 75
 FREQUENT = 200_000
 LOCAL = 4
 OFTEN = 64
-#: Least number of parities of a set; larger sets have as many as the power of two from their size up.
+#: Least number of parities of a set; larger sets have the power of two from four times their size up.
 PARITIES = 512
 #: A document is indexed by one in so many of its tokens more than its slack.
 EXTRA = 20
-#: All pairs that are left are compared once they are no more than this for each row that was open at first.
-PAIRS_PER_ROW = 2
+#: Signatures of more classes than this are compared by blocks, of so many classes each.
+BUCKET = 16
+BLOCK = 4096
+#: Candidates of a class that a pair of blocks gives in the first round.
+CLOSEST = 4
 
 
 def needed(n: int, share: int = SHARE) -> int:
@@ -162,7 +170,7 @@ def signatures(tokens: np.ndarray, known: np.ndarray, share: int = SHARE) -> tup
 def parities(tokens: np.ndarray) -> bytes:
     """For each of a power of two of buckets, whether it holds an odd number of tokens."""
     buckets = PARITIES
-    while buckets < len(tokens):
+    while buckets < 4 * len(tokens):
         buckets *= 2
     counts = np.bincount((mixed(tokens) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
@@ -203,21 +211,33 @@ def signed(docs: DataFrame, known: np.ndarray, share: int = SHARE, text: str = "
 
 
 def shared_rows(index: DataFrame) -> DataFrame:
-    """signature and node wherever a signature has several nodes and a node has enough of those."""
+    """signature and node, where they can tell that two documents are linked.
+
+    Only signatures of several nodes count, and only nodes that share as many as they
+    must.  Linked nodes share so many, so of each node's rows the most common ones can
+    go, one fewer than it must share: an overlap that large cannot lie in them alone.
+    """
     rows = index.select("node", "least", F.explode("signatures").alias("signature"))
     while True:
-        several = rows.groupBy(F.col("signature").alias("key")).agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > 1).select("key")
-        met = cut_lineage(rows.join(several, F.col("signature") == F.col("key")).select("node", "least", "signature"))
+        several = rows.groupBy(F.col("signature").alias("key")).agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > 1)
+        met = cut_lineage(rows.join(several, F.col("signature") == F.col("key")).select("node", "least", "signature", "held"))
         enough = (
             met.groupBy(F.col("node").alias("of"))
-            .agg(F.count(F.lit(1)).alias("held"), F.max("least").alias("must"))
-            .filter(F.col("held") >= F.col("must"))
-            .select("of")
+            .agg(F.count(F.lit(1)).alias("shared"), F.max("least").alias("must"))
+            .filter(F.col("shared") >= F.col("must"))
+            .select("of", "shared")
         )
-        rows = cut_lineage(met.join(enough, F.col("node") == F.col("of"), "left_semi"))
+        rows = cut_lineage(met.join(enough, F.col("node") == F.col("of")).drop("of"))
         # What was dropped may leave others with too little; stop when hardly anything changes.
         if rows.count() >= 0.9 * met.count():
-            return rows.select("signature", "node")
+            break
+        rows = rows.select("node", "least", "signature")
+    rarest = Window.partitionBy("node").orderBy("held", "signature")  # a node has no more rows than words
+    return (
+        rows.withColumn("rank", F.row_number().over(rarest))
+        .filter(F.col("rank") <= F.col("shared") - F.col("least") + 1)
+        .select("signature", "node")
+    )
 
 
 # ---------------------------------------------------------------- verification
@@ -254,12 +274,13 @@ def _token_table(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("node"), text).mapInArrow(run, "node bigint, tokens binary")
 
 
-def verified(pairs: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, share: int, text: str = "text") -> DataFrame:
     """The pairs (a, b) that share enough tokens."""
-    both = (
-        cut_lineage(pairs)
-        .join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a")
-        .join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+    pairs = cut_lineage(pairs)
+    nodes = cut_lineage(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+    tokens = cut_lineage(_token_table(docs.join(nodes, F.col("doc_id") == F.col("id"), "left_semi"), text))
+    both = pairs.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(
+        tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,65 +295,137 @@ def verified(pairs: DataFrame, tokens: DataFrame, share: int) -> DataFrame:
     return both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-# ---------------------------------------------------------------- rounds
+# ---------------------------------------------------------------- candidates
+
+
+def bucket_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of the signatures that no more than ``BUCKET`` nodes share."""
+    few = _held(members).filter(F.col("held").between(2, BUCKET)).select("key")
+    rows = members.join(few, F.col("signature") == F.col("key")).select("signature", F.col("node").alias("a"))
+    other = rows.select(F.col("signature").alias("same"), F.col("a").alias("b"))
+    return rows.join(other, (F.col("signature") == F.col("same")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+
+
+def _held(members: DataFrame) -> DataFrame:
+    return members.groupBy(F.col("signature").alias("key")).agg(F.count(F.lit(1)).alias("held"), F.min("node").alias("first"))
+
+
+def blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """cluster, block, node, n and parity of the nodes of larger signatures."""
+    many = _held(members).filter(F.col("held") > BUCKET).select("key", "first")
+    linked_nodes = members.join(many, F.col("signature") == F.col("key")).select(F.col("node").alias("a"), F.col("first").alias("b"))
+    clusters = connected(linked_nodes).select(F.col("node").alias("of"), F.col("root").alias("cluster"))
+    named = sizes.join(clusters, F.col("node") == F.col("of")).select("cluster", "node", "n", "parity")
+    placed = with_position(named, [F.col("n").asc(), F.col("node").asc()], "place", within=["cluster"])
+    return cut_lineage(placed.select("cluster", F.floor((F.col("place") - 1) / BLOCK).alias("block"), "node", "n", "parity"))
+
+
+def block_pairs(blocked: DataFrame, share: int) -> DataFrame:
+    """cluster, i and j of blocks whose sizes allow links."""
+    spans = blocked.groupBy("cluster", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    later = spans.select(F.col("cluster").alias("same"), F.col("block").alias("j"), F.col("least").alias("from"))
+    return spans.join(
+        later, (F.col("cluster") == F.col("same")) & (F.col("block") <= F.col("j")) & (F.col("most") * 100 >= F.col("from") * share)
+    ).select("cluster", F.col("block").alias("i"), "j")
+
+
+def _matrix(parities_of: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(parities_of), np.uint64).reshape(len(parities_of), -1)
+
+
+def _folded(rows: np.ndarray, words: int) -> np.ndarray:
+    while rows.shape[1] > words:
+        rows = rows[:, : rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2 :]
+    return rows
+
+
+def closest(own: pd.DataFrame, other: pd.DataFrame | None, share: int, most: int) -> tuple[list[tuple[int, int]], bool]:
+    """Candidates (a, b) in different components, up to ``most`` for each row of ``own``, and whether some were held back."""
+    found: list[tuple[int, int]] = []
+    held_back = False
+    against = own if other is None else other
+    for width in sorted(own["parity"].map(len).unique()):
+        rows = own[own["parity"].map(len) == width]
+        for wide in sorted(against["parity"].map(len).unique()):
+            if other is None and wide < width:
+                continue  # the other way round
+            columns = against[against["parity"].map(len) == wide]
+            words = min(width, wide) // 8
+            x, y = _folded(_matrix(rows["parity"].tolist()), words), _folded(_matrix(columns["parity"].tolist()), words)
+            n, m = rows["n"].to_numpy(np.int64), columns["n"].to_numpy(np.int64)
+            step = max(1, (1 << 21) // max(1, len(y) * words))
+            for first in range(0, len(x), step):
+                part = slice(first, first + step)
+                differ = np.bitwise_count(x[part, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+                big, small = np.maximum(n[part, None], m[None, :]), np.minimum(n[part, None], m[None, :])
+                fits = (differ * (100 + share) <= (big + small) * (100 - share)) & (small * 100 >= big * share)
+                fits &= rows["root"].to_numpy()[part, None] != columns["root"].to_numpy()[None, :]
+                if other is None and width == wide:
+                    fits &= rows["node"].to_numpy()[part, None] < columns["node"].to_numpy()[None, :]
+                if (fits.sum(axis=1) > most).any():
+                    held_back = True
+                    differ = np.where(fits, differ, 1 << 40)
+                    near = np.argpartition(differ, min(most, differ.shape[1] - 1), axis=1)[:, :most]
+                    kept = np.zeros_like(fits)
+                    np.put_along_axis(kept, near, True, axis=1)
+                    fits &= kept
+                i, j = np.nonzero(fits)
+                found += zip(rows["node"].to_numpy()[part][i].tolist(), columns["node"].to_numpy()[j].tolist(), strict=True)
+    return found, held_back
+
+
+def compared(blocked: DataFrame, roots: DataFrame | None, pairs: DataFrame, share: int, most: int) -> DataFrame:
+    """a, b of candidates within ``pairs`` of blocks; a row without a and b names a pair that held back some."""
+    if roots is None:
+        named = blocked.withColumn("root", F.col("node"))
+    else:
+        named = blocked.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").withColumn(
+            "root", F.coalesce("root", "node")
+        )
+    rows = named.select(F.col("cluster").alias("in_cluster"), "block", "node", "n", "parity", "root")
+    inside = F.col("cluster") == F.col("in_cluster")
+    columns = ["cluster", "i", "j", "side", "node", "n", "parity", "root"]
+    left = pairs.join(rows, inside & (F.col("i") == F.col("block"))).withColumn("side", F.lit(0))
+    right = pairs.filter(F.col("i") < F.col("j")).join(rows, inside & (F.col("j") == F.col("block"))).withColumn("side", F.lit(1))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        first = group.iloc[0]
+        own, other = group[group["side"] == 0], group[group["side"] == 1]
+        found, held_back = closest(own, None if first["i"] == first["j"] else other, share, most)
+        out = pd.DataFrame(
+            {"a": [min(p) for p in found] + [None] * held_back, "b": [max(p) for p in found] + [None] * held_back}, dtype="Int64"
+        )
+        return out.assign(cluster=first["cluster"], i=first["i"], j=first["j"])
+
+    return (
+        left.select(columns)
+        .union(right.select(columns))
+        .groupBy("cluster", "i", "j")
+        .applyInPandas(run, "a bigint, b bigint, cluster bigint, i bigint, j bigint")
+    )
 
 
 def linked(docs: DataFrame, copies: DataFrame, known: np.ndarray, share: int = SHARE, text: str = "text") -> DataFrame:
     """node and root of every class that is linked with another; ``copies`` (doc_id) play no part."""
     classes = docs.join(copies, "doc_id", "left_anti").filter(F.col("doc_id").isNotNull())
     index = cut_lineage(signed(classes, known, share, text))
-    members = shared_rows(index)
-    nodes = cut_lineage(members.select("node").distinct())
-    sizes = cut_lineage(index.join(nodes, "node", "left_semi").select("node", "n", "parity"))
-    tokens = cut_lineage(_token_table(classes.join(nodes, F.col("doc_id") == F.col("node"), "left_semi"), text))
-    roots, bound = None, None
+    members = cut_lineage(shared_rows(index))
+    sizes = index.select("node", "n", "parity")
+    blocked = blocks(members, sizes)
+    pairs = cut_lineage(block_pairs(blocked, share))
+    most = CLOSEST
+    met = cut_lineage(compared(blocked, None, pairs, share, most))
+    candidates = _sized(bucket_pairs(members), sizes, share).union(met.filter(F.col("a").isNotNull()).select("a", "b")).distinct()
+    links = cut_lineage(verified(candidates, classes, share, text))
     while True:
-        named = members if roots is None else members.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-        root = F.col("node") if roots is None else F.coalesce("root", "node")
-        named = cut_lineage(named.select("signature", "node", root.alias("root")))
-        by_root = named.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("held"), F.min("node").alias("least"))
-        open_ = (
-            by_root.groupBy("signature")
-            .agg(
-                F.sum("held").alias("rows"),
-                F.sum(F.col("held") * F.col("held")).alias("within"),
-                F.count(F.lit(1)).alias("roots"),
-                # the next to be compared with all others: from the largest component
-                F.max(F.struct(F.col("held"), (-F.col("least")).alias("hub"))).alias("largest"),
-            )
-            .filter(F.col("roots") > 1)
-            .select(F.col("signature").alias("key"), "rows", "within", (-F.col("largest.hub")).alias("hub"))
-        )
-        open_ = cut_lineage(open_)
-        left = open_.agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum((F.col("rows") * F.col("rows") - F.col("within")) / 2), F.lit(0)).alias("pairs"),
-        ).first()
-        if not left["rows"]:
-            break
-        bound = bound or PAIRS_PER_ROW * left["rows"]
-        last = left["pairs"] <= bound
-        own = named.join(open_, F.col("signature") == F.col("key"))
-        if last:
-            other = named.select(F.col("signature").alias("key_b"), F.col("node").alias("b"), F.col("root").alias("root_b"))
-            met = own.join(other, (F.col("signature") == F.col("key_b")) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")))
-            pairs = met.select(F.col("node").alias("a"), "b").distinct()
-        else:
-            hub_root = named.select(F.col("signature").alias("key_b"), F.col("node").alias("b"), F.col("root").alias("root_b"))
-            hubs = open_.join(hub_root, (F.col("key") == F.col("key_b")) & (F.col("hub") == F.col("b"))).select("key_b", "b", "root_b")
-            met = named.join(hubs, F.col("signature") == F.col("key_b")).filter(F.col("root") != F.col("root_b"))
-            pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        links = verified(_sized(pairs, sizes, share), tokens, share)
-        known_links = links if roots is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = cut_lineage(connected(known_links))
-        if last:
-            break
-        members = cut_lineage(
-            own.filter(F.col("node") != F.col("hub")).select("signature", "node")
-        )
-    if roots is None:
-        return index.sparkSession.createDataFrame([], "node bigint, root bigint")
-    return roots
+        roots = cut_lineage(connected(links))
+        pairs = cut_lineage(met.filter(F.col("a").isNull()).select("cluster", "i", "j"))
+        if pairs.isEmpty():
+            return roots
+        most *= 16
+        met = cut_lineage(compared(blocked, roots, pairs, share, most))
+        more = verified(met.filter(F.col("a").isNotNull()).select("a", "b").distinct(), classes, share, text)
+        links = cut_lineage(links.union(more))
 
 
 def components(docs: DataFrame, share: int = SHARE, text: str = "text") -> DataFrame:
