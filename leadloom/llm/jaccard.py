@@ -434,7 +434,7 @@ def components(docs: DataFrame, share: int = SHARE, text: str = "text") -> DataF
     known = frequent_tokens(sets)
     filled = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     least = filled.groupBy(F.col("digest").alias("of_set")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("held"))
-    again = least.filter(F.col("held") > 1).select("of_set", "first")
+    again = cut_lineage(least.filter(F.col("held") > 1).select("of_set", "first"))
     copies = cut_lineage(
         filled.join(again, F.col("digest") == F.col("of_set")).filter(F.col("doc_id") != F.col("first")).select("doc_id", "first").distinct()
     )
