@@ -62,18 +62,23 @@ def token_ids(text: str, enc) -> list[int]:
     return ids
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", to: str = "token_ids") -> DataFrame:
-    """All columns of ``docs`` and the token ids of ``text`` as an array of integers."""
-    kept = [c for c in docs.columns if c != to]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(to, T.ArrayType(T.IntegerType(), False))])
+def encode(
+    docs: DataFrame, rank_file: str, pattern: str, text: str = "text", to: str = "token_ids", exact: str = "exact"
+) -> DataFrame:
+    """All columns of ``docs``, the token ids of ``text`` as an array, and whether they decode to its bytes."""
+    kept = [c for c in docs.columns if c not in (to, exact)]
+    added = [T.StructField(to, T.ArrayType(T.IntegerType(), False)), T.StructField(exact, T.BooleanType())]
+    schema = T.StructType([docs.schema[c] for c in kept] + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(rank_file, pattern)
         for batch in in_batches(batches, 500):
-            ids = [token_ids(x, enc) for x in column_or(batch, text)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(kept))), pa.array(ids, pa.list_(pa.int32()))], names=[*kept, to]
-            )
+            texts = column_or(batch, text)
+            ids = [token_ids(x, enc) for x in texts]
+            same = [enc.decode_bytes(own) == x.encode() for own, x in zip(ids, texts, strict=True)]
+            columns = [batch.column(i) for i in range(len(kept))]
+            columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, to, exact])
 
     return docs.select(*kept).mapInArrow(run, schema)
 

@@ -49,7 +49,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 class WordCodes(dict):
     """64-bit code of each word; forgets all words when there are many."""
 
-    LIMIT = 1_000_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

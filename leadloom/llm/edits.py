@@ -40,7 +40,7 @@ LOOK_AHEAD = 3
 class TokenCounts(dict):
     """Number of tokens of each pre-token; forgets all when there are many."""
 
-    LIMIT = 500_000
+    LIMIT = 150_000
 
     def __init__(self, rank_file: str, pattern: str):
         super().__init__()
