@@ -30,11 +30,6 @@ def column_or(batch: pa.RecordBatch, name: str, default: str = "") -> list[str]:
     return [default if x is None else x for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
-def narrow(docs: DataFrame, *columns: str) -> DataFrame:
-    """Just the named columns, whatever else the table has."""
-    return docs.select(*columns)
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix, so that sums of word codes spread over the whole range."""
     x = values.astype(np.uint64, copy=True)
@@ -79,8 +74,15 @@ def shingles(text: str | None, codes: WordCodes, size: int = SHINGLE_WORDS) -> n
     return np.unique(total)
 
 
+#: Bytes of a batch that Python objects are made of at a time.
+SLICE_BYTES = 4 << 20
+
+
 def in_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that a batch of long texts stays small."""
+    """The same rows in order, in smaller batches: a batch of long texts becomes many."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        if batch.num_rows > 1 and (batch.num_rows > rows or batch.nbytes > SLICE_BYTES):
+            half = batch.num_rows // 2
+            yield from in_batches(iter((batch.slice(0, half), batch.slice(half))), rows)
+        elif batch.num_rows:
+            yield batch
