@@ -648,7 +648,8 @@ PLAN = f"""SELECT row_number() OVER (PARTITION BY city ORDER BY
         WHEN 'New' THEN 5 ELSE 99 END,
       CASE reply_type WHEN 'hot' THEN 1 WHEN 'warm' THEN 2 WHEN 'amber' THEN 3 WHEN 'new' THEN 4 WHEN 'none' THEN 5
         ELSE 99 END, est_monthly_spend_gbp DESC, lead_id) AS visit_order,
-    left(coalesce(store_name, handle, 'Unknown'), 27) AS store_name, city, stage, reply_type, est_monthly_spend_gbp,
+    coalesce(store_name, handle, 'Unknown') AS store_name,
+    left(coalesce(store_name, handle, 'Unknown'), 27) AS short_name, city, stage, reply_type, est_monthly_spend_gbp,
     coalesce(email, '') AS email, coalesce(phone, '') AS phone,
     CASE WHEN stage = 'Meeting Booked' THEN 'Confirmed visit — add to route'
       WHEN stage = 'Negotiating' THEN 'Book visit — email first, visit to close'
@@ -886,16 +887,65 @@ def streamed_load(spark, folder):
     stream = ingest_stream(spark, f"{root}/incoming", base, f"{root}/rejected", f"{root}/progress", AS_OF)
     stream.awaitTermination()
     return tables.read_base(spark, base).select(
-        "batch_id", "lead_id", "lead_type", "stage", "personalisation_signals"
+        # the stream's id differs in every run
+        F.regexp_replace("batch_id", "-[0-9a-f-]{36}-", "-").alias("batch_id"),
+        "lead_id", "lead_type", "stage", "personalisation_signals",
     )
 
 
+BASE_AND_FRESH = (
+    "SELECT 'first_load' AS batch_id, lead_id, lead_type, stage FROM clean "
+    "UNION ALL SELECT '{}', lead_id, lead_type, stage FROM fresh_clean"
+)
+
+
+@entry("repeat_batch", query(BASE_AND_FRESH.format("001"), "clean", "fresh_clean"))
+def repeat_batch(spark, folder):
+    root = scratch_path(spark, "repeat")
+    tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
+    for _ in range(2):
+        load_batch(fixtures.day2_batch(spark, folder), f"{root}/base", f"{root}/rejected", "001", AS_OF)
+    return tables.read_base(spark, f"{root}/base").select("batch_id", "lead_id", "lead_type", "stage")
+
+
+@entry("two_streams", query(BASE_AND_FRESH.format("one-0"), "clean", "fresh_clean"))
+def two_streams(spark, folder):
+    root = scratch_path(spark, "streams")
+    tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
+    incoming = fixtures.day2_batch(spark, folder)
+    tables.write_leads(incoming, f"{root}/one")
+    tables.write_leads(incoming.where(F.col("lead_id").isNotNull()), f"{root}/two")  # all known by then
+    for name in ("one", "two"):
+        ingest_stream(
+            spark, f"{root}/{name}", f"{root}/base", f"{root}/rejected", f"{root}/progress-{name}", AS_OF, stream_name=name
+        ).awaitTermination()
+    return tables.read_base(spark, f"{root}/base").select(
+        F.regexp_replace("batch_id", "-[0-9a-f-]{36}-", "-").alias("batch_id"), "lead_id", "lead_type", "stage"
+    )
+
+
+@entry(
+    "drop_duplicates_chain",
+    "SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS lead_id FROM customer WHERE c_custkey % 2 = 0",
+)
+def drop_duplicates_chain(spark, folder):
+    """Customer i shares a handle with i - 1 and an address with i + 1: every second one stays."""
+    key = F.col("c_custkey")
+    chain = fixtures.read_table(spark, folder, "customer").select(
+        F.lpad(key.cast("string"), 12, "0").alias("lead_id"),
+        F.concat(F.lit("seller"), F.expr("c_custkey div 2")).alias("handle"),
+        F.concat(F.lit("u"), F.expr("(c_custkey + 1) div 2"), F.lit("@mail.com")).alias("email"),
+    )
+    leads = clean_plan.prepared_leads(tables.align_raw(chain), AS_OF)
+    return identity.drop_duplicates(leads, identity.resolve_duplicates(leads, block_rows=500)).select("lead_id")
+
+
 @entry("load_batch_rejections", query(REJECTED, "checked"))
 def load_batch_rejections(spark, folder):
     root = scratch_path(spark, "load")
     tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
     load_batch(fixtures.day2_batch(spark, folder), f"{root}/base", f"{root}/rejected", "day2", AS_OF)
-    return spark.read.parquet(f"{root}/rejected/batch_id=day2")
+    return spark.read.parquet(tables.batch_path(f"{root}/rejected", "day2"))
 
 
 # --- Reports -----------------------------------------------------------------
@@ -925,7 +975,7 @@ ENTRIES["override_details"] = (
     lambda spark, folder: report.override_details(clean(spark, folder)),
     query(
         "SELECT lead_id, coalesce(handle, store_name, lead_id) AS identifier, stage_raw, stage AS stage_now, "
-        "left(coalesce(last_inbound_text, ''), 60) AS last_said FROM clean WHERE stage_overridden",
+        "coalesce(last_inbound_text, '') AS last_said FROM clean WHERE stage_overridden",
         "clean",
     ),
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from leadloom.operators.batch import append_columns
 from leadloom.schema import CONFIRMATION_SCHEMA, RAW_SCHEMA
 
 BATCH_COLUMN = "batch_id"
+BATCH_MARK = "id-"
 FIRST_LOAD = "first_load"
 
 
@@ -41,9 +44,9 @@ def align_raw(found: DataFrame) -> DataFrame:
     return found.select(*known, *other)
 
 
-def read_leads(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    readers = {"csv": read_leads_csv, "parquet": read_leads_parquet}
-    return readers[file_format](spark, path)
+def read_leads(spark: SparkSession, path: str, file_format: str = "parquet", multi_line: bool = True) -> DataFrame:
+    """Leads of a format; ``multi_line`` counts for CSV, see ``read_leads_csv``."""
+    return read_leads_csv(spark, path, multi_line) if file_format == "csv" else read_leads_parquet(spark, path)
 
 
 def write_leads(df: DataFrame, path: str, file_format: str = "parquet") -> None:
@@ -63,31 +66,50 @@ def append_to_base(new: DataFrame, base_path: str, batch_id: str | int) -> None:
     A batch owns one partition; writing the same batch again replaces only that
     partition, so a repeated job adds nothing twice.
     """
-    new.drop(BATCH_COLUMN).write.mode("overwrite").parquet(f"{base_path}/{BATCH_COLUMN}={batch_id}")
+    new.drop(BATCH_COLUMN).write.mode("overwrite").parquet(batch_path(base_path, batch_id))
 
 
-def base_exists(spark: SparkSession, base_path: str) -> bool:
+def batch_path(path: str, batch_id: str | int) -> str:
+    """Partition of a batch.  The mark in front keeps Spark from reading ids as numbers or dates."""
+    return f"{path}/{BATCH_COLUMN}={BATCH_MARK}{quote(str(batch_id), safe='')}"
+
+
+def find_base(spark: SparkSession, base_path: str) -> DataFrame | None:
+    """The whole base, or none if its path does not exist; any other failure is raised.
+
+    Later batches may have brought additional columns.
+    """
     try:
-        read_base(spark, base_path)
-    except AnalysisException:
-        return False
-    return True
+        found = spark.read.options(mergeSchema=True, basePath=base_path).parquet(base_path)
+    except AnalysisException as failure:
+        if failure.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    batch = F.col(BATCH_COLUMN).cast("string")
+    marked = F.substr(batch, F.lit(len(BATCH_MARK) + 1))
+    return found.withColumn(BATCH_COLUMN, F.when(batch.startswith(BATCH_MARK), marked).otherwise(batch))
+
+
+def base_exists(spark: SparkSession, base_path: str) -> bool:
+    return find_base(spark, base_path) is not None
 
 
 def read_base(spark: SparkSession, base_path: str) -> DataFrame:
-    """The whole base; later batches may have brought additional columns."""
-    return spark.read.options(mergeSchema=True, basePath=base_path).parquet(base_path).withColumn(
-        BATCH_COLUMN, F.col(BATCH_COLUMN).cast("string")
-    )
+    """The whole base, which must exist."""
+    base = find_base(spark, base_path)
+    if base is None:
+        raise FileNotFoundError(base_path)
+    return base
 
 
 def read_source(
-    spark: SparkSession, base_path: str, first_load_path: str, file_format: str = "csv"
+    spark: SparkSession, base_path: str, first_load_path: str, file_format: str = "csv", multi_line: bool = True
 ) -> DataFrame:
     """The permanent base if there is one, otherwise the first load."""
-    if base_exists(spark, base_path):
-        return align_raw(read_base(spark, base_path).drop(BATCH_COLUMN))
-    return read_leads(spark, first_load_path, file_format)
+    base = find_base(spark, base_path)
+    if base is not None:
+        return align_raw(base.drop(BATCH_COLUMN))
+    return read_leads(spark, first_load_path, file_format, multi_line)
 
 
 def with_first_load(base: DataFrame, first_load: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from leadloom import rules
 from leadloom.operators.batch import check_batch, clean_new_leads, new_rows, rejections
 from leadloom.schema import RAW_SCHEMA
 from leadloom.session import cut_lineage
-from leadloom.sources.tables import BATCH_COLUMN, CSV_OPTIONS, append_to_base, base_exists, read_base
+from leadloom.sources.tables import BATCH_COLUMN, CSV_OPTIONS, append_to_base, batch_path, find_base
 
 
 def load_batch(
@@ -30,16 +30,16 @@ def load_batch(
     with what an earlier attempt of itself wrote: a repeat gives the same result.
     """
     spark = incoming.sparkSession
-    if base_exists(spark, base_path):
-        existing = read_base(spark, base_path).where(F.col(BATCH_COLUMN) != str(batch_id))
-        checked = check_batch(incoming, existing)
+    base = find_base(spark, base_path)
+    if base is not None:
+        checked = check_batch(incoming, base.where(F.col(BATCH_COLUMN) != str(batch_id)))
     else:
         checked = incoming.withColumns(
             {"reason": F.lit(None).cast("string"), "matched_lead_id": F.lit(None).cast("string")}
         )
     checked = cut_lineage(checked)
     fresh = clean_new_leads(new_rows(checked), as_of, within_batch, brand)
-    rejections(checked).write.mode("overwrite").parquet(f"{rejections_path}/{BATCH_COLUMN}={batch_id}")
+    rejections(checked).write.mode("overwrite").parquet(batch_path(rejections_path, batch_id))
     append_to_base(fresh, base_path, batch_id)
 
 
@@ -54,18 +54,24 @@ def ingest_stream(
     max_files_per_batch: int = 1000,
     within_batch: bool = False,
     brand: rules.Brand = rules.Brand(),
+    stream_name: str = "stream",
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Load all files that are new since the last run, then stop.
 
     Each micro-batch is joined with the base as it is at that moment, so leads of
-    one batch are known to the next.
+    one batch are known to the next.  Its partition carries the stream's name and the
+    id that the checkpoint keeps, so another stream, or the same one after it lost its
+    checkpoint, never writes to a partition of this one.
     """
     reader = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files_per_batch)
     if file_format == "csv":
-        reader = reader.options(multiLine=True, **CSV_OPTIONS)
+        reader = reader.options(multiLine=multi_line, **CSV_OPTIONS)
 
     def load(incoming: DataFrame, batch_id: int) -> None:
-        load_batch(incoming, base_path, rejections_path, f"stream-{batch_id}", as_of, within_batch, brand)
+        kept = spark.read.schema("id string").json(f"{checkpoint_path}/metadata").first()
+        name = f"{stream_name}-{kept['id']}-{batch_id}"
+        load_batch(incoming, base_path, rejections_path, name, as_of, within_batch, brand)
 
     return (
         reader.format(file_format)

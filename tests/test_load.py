@@ -1,5 +1,7 @@
 from datetime import date
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from leadloom.operators import batch
@@ -120,3 +122,39 @@ def test_append_to_clean_keeps_the_columns(leads):
     new = batch.clean_new_leads(leads(NEW), AS_OF)
     assert batch.append_to_clean(clean, new).columns == clean.columns
     assert batch.append_columns(clean, new).columns == [*clean.columns, "personalisation_signals"]
+
+
+def test_repeated_batches_keep_their_rows_whatever_the_id(spark, leads):
+    root = scratch_path(spark, "test")
+    for batch_id in ("001", "001", "002", "2026-06-30", "1e3", "1e3", "a/b c"):
+        own = {"lead_id": f"L{batch_id}", "handle": f"@seller {batch_id}"}
+        load_batch(leads(own), f"{root}/base", f"{root}/rejected", batch_id, AS_OF)
+    base = tables.read_base(spark, f"{root}/base").collect()
+    assert sorted((r.lead_id, r.batch_id) for r in base) == [
+        (f"L{i}", i) for i in ("001", "002", "1e3", "2026-06-30", "a/b c")
+    ]
+
+
+def test_two_streams_keep_each_others_leads(spark, leads):
+    root = scratch_path(spark, "test")
+
+    def run(source, progress):
+        ingest_stream(
+            spark, f"{root}/{source}", f"{root}/base", f"{root}/rejected", f"{root}/{progress}", AS_OF, stream_name="crm"
+        ).awaitTermination()
+
+    leads({"lead_id": "A", "handle": "@first"}).write.parquet(f"{root}/one")
+    leads({"lead_id": "B", "handle": "@second"}).write.parquet(f"{root}/two")
+    run("one", "p1")
+    run("two", "p2")
+    leads({"lead_id": "C", "handle": "@third"}).write.mode("append").parquet(f"{root}/one")
+    run("one", "p1")
+    run("one", "lost")
+    assert sorted(r.lead_id for r in tables.read_base(spark, f"{root}/base").collect()) == ["A", "B", "C"]
+
+
+def test_a_broken_base_is_not_taken_for_none(spark, leads, tmp_path):
+    (tmp_path / "base").mkdir()
+    (tmp_path / "base" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception):
+        load_batch(leads(NEW), str(tmp_path / "base"), str(tmp_path / "rejected"), 1, AS_OF)
