@@ -3,36 +3,37 @@
 Rows are looked at from the newest to the oldest.  A row is kept unless it shares
 a key with a row that was kept before it; dropped rows do not pass their keys on.
 This is the lexicographically first maximal independent set of the "shares a key"
-graph, found here without looking at rows one by one (Blelloch, Fineman, Shun,
-"Greedy Sequential Maximal Independent Set and Matching are Parallel on Average",
-SPAA 2012): in every round the rows that come first on all their keys are kept,
-the rows that share a key with them are dropped, and the rest goes on.
-
-* A key is never gathered into one group: its first row is a ``min`` (combined
-  before the shuffle) and its rows meet the taken keys in a semi join.
+graph, found here by blocks (after Blelloch, Fineman, Shun, "Greedy Sequential Maximal
+Independent Set and Matching are Parallel on Average", SPAA 2012).
+
+* A row whose keys nobody else has is kept at once; the rest falls into connected
+  components of shared keys, which decide nothing about each other.
+* Components are numbered in order and cut into blocks of ``BLOCK_ROWS`` rows, however many
+  blocks that makes.  In every round each block is walked in order by one task: a row
+  whose earlier neighbours are all decided, or lie in its block, is decided.  A round
+  settles at least the first open block of every component.
+* A key is never gathered into one group: its first open row is a ``min`` (combined
+  before the shuffle) and its rows meet the taken keys in a join with one row for each key.
 * Only row id, order and keys take part; the wide rows are shuffled once.
 * Each round is written to the shared folder, so lost executors cost one round at most.
-* Long chains of shared keys would need many rounds.  After a few rounds the rest
-  is split into connected components; components of a checked size are finished
-  by a walk in memory, larger ones go on in rounds.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadloom import rules
 from leadloom.functions.keys import identity_keys, kind_of, value_of
 from leadloom.functions.logic import fill, first_match
-from leadloom.session import cut_lineage
+from leadloom.operators.ranking import with_position
+from leadloom.session import cut_lineage, scratch_path
 
-ROUNDS_BEFORE_SPLIT = 4
-COMPONENT_LIMIT = 50_000
+BLOCK_ROWS = 20_000
 
 # Newest first, undated last, then by lead id; row_id makes the order total.
 ORDER = ("touch_rank", "no_lead_id", "lead_id", "row_id")
@@ -85,34 +86,6 @@ def key_rows(leads: DataFrame) -> DataFrame:
     )
 
 
-def _one_round(undecided: DataFrame) -> DataFrame:
-    """Undecided rows with ``kept`` true, false or null (not decided yet).
-
-    A key that only one row has drops nobody, so only the taken keys that are
-    shared meet the rows again.
-    """
-    members = undecided.select(*ORDER, F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
-    firsts = members.groupBy("key").agg(
-        F.min(F.struct(*ORDER, "n_keys")).alias("first"), (F.count(F.lit(1)) > 1).alias("shared")
-    ).select("key", "shared", F.col("first.row_id").alias("owner"), F.col("first.n_keys").alias("n_keys"))
-    # A row owns at most as many keys as there are kinds, so the list is short.
-    winners = (
-        firsts.groupBy("owner", "n_keys")
-        .agg(F.collect_list(F.struct("key", "shared")).alias("won"))
-        .where(F.size("won") == F.col("n_keys"))
-    )
-    taken = winners.select("owner", F.inline("won")).where("shared").select("owner", "key")
-    dropped = (
-        members.select("row_id", "key")
-        .join(taken, "key")
-        .where(F.col("owner") != F.col("row_id"))
-        .groupBy("row_id")
-        .agg(F.lit(False).alias("kept"))
-    )
-    kept = winners.select(F.col("owner").alias("row_id"), F.lit(True).alias("kept"))
-    return undecided.join(kept.unionByName(dropped), "row_id", "left")
-
-
 def connected_components(rows: DataFrame) -> DataFrame:
     """``row_id`` and ``component`` of the "shares a key" graph.
 
@@ -138,52 +111,86 @@ def connected_components(rows: DataFrame) -> DataFrame:
 
 
 def _walk(rows: pd.DataFrame) -> pd.DataFrame:
-    """Decide the rows of one small component in order."""
-    rows = rows.sort_values(list(ORDER), kind="stable")
-    seen: set[str] = set()
-    kept = []
-    for keys in rows["keys"]:
-        free = seen.isdisjoint(keys)
-        if free:
-            seen.update(keys)
-        kept.append(free)
-    return pd.DataFrame({"row_id": rows["row_id"].to_numpy(), "verdict": kept})
-
-
-def _finish_components(undecided: DataFrame, limit: int) -> DataFrame:
-    """Decide all rows whose connected component has at most ``limit`` rows."""
-    components = connected_components(undecided)
-    small = components.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit)
-    verdicts = (
-        undecided.select(*ORDER, "keys")
-        .join(components.join(small, "component", "left_semi"), "row_id")
-        .groupBy("component")
+    """Decide the open rows of one block in order, as far as earlier blocks allow.
+
+    ``waiting`` holds the keys of a row that an open row of an earlier block has.
+    """
+    rows = rows.sort_values("place", kind="stable")
+    taken: set[str] = set()
+    unsure: set[str] = set()
+    verdicts: list[bool | None] = []
+    for keys, waiting in zip(rows["keys"], rows["waiting"], strict=True):
+        if not taken.isdisjoint(keys):
+            verdicts.append(False)
+        elif len(waiting) or not unsure.isdisjoint(keys):
+            unsure.update(keys)
+            verdicts.append(None)
+        else:
+            taken.update(keys)
+            verdicts.append(True)
+    return pd.DataFrame({"row_id": rows["row_id"].to_numpy(), "verdict": pd.array(verdicts, dtype="boolean")})
+
+
+def _spans(members: DataFrame) -> DataFrame:
+    """First and last open block of each key that open rows of several blocks have."""
+    blocks = members.groupBy(F.col("key").alias("of")).agg(F.min("block").alias("first"), F.max("block").alias("last"))
+    return blocks.where(F.col("first") < F.col("last"))
+
+
+def _one_round(open_rows: DataFrame) -> DataFrame:
+    """Open rows with ``kept`` true, false or null (not decided yet)."""
+    members = open_rows.select("row_id", "component", "block", F.explode("keys").alias("key"))
+    across = _spans(members)
+    waiting = (
+        members.join(across, F.col("key") == F.col("of"))
+        .where(F.col("first") < F.col("block"))
+        .groupBy(F.col("row_id").alias("waiter"))
+        .agg(F.collect_set("key").alias("waiting"))  # a row has five keys at most
+    )
+    verdicts = cut_lineage(
+        open_rows.join(waiting, F.col("row_id") == F.col("waiter"), "left")
+        .select("row_id", "component", "block", "place", "keys", F.coalesce("waiting", F.array().cast("array<string>")).alias("waiting"))
+        .groupBy("component", "block")
         .applyInPandas(_walk, "row_id string, verdict boolean")
     )
-    return undecided.join(verdicts, "row_id", "left").withColumnRenamed("verdict", "kept")
+    state = open_rows.join(verdicts, "row_id")
+    # Rows of later blocks that share a key with a row that is kept now.
+    taken = state.where("verdict").select(F.col("row_id").alias("owner"), F.explode("keys").alias("of"))
+    hit = (
+        state.where(F.col("verdict").isNull())
+        .select("row_id", F.explode("keys").alias("key"))
+        .join(taken.join(across, "of", "left_semi"), F.col("key") == F.col("of"))
+        .select(F.col("row_id").alias("hit"))
+        .distinct()
+    )
+    kept = F.when(F.col("hit").isNotNull(), F.lit(False)).otherwise(F.col("verdict"))
+    return state.join(hit, F.col("row_id") == F.col("hit"), "left").withColumn("kept", kept).drop("verdict", "hit")
 
 
-def resolve_duplicates(
-    leads: DataFrame,
-    rounds_before_split: int = ROUNDS_BEFORE_SPLIT,
-    component_limit: int = COMPONENT_LIMIT,
-) -> Resolution:
+def resolve_duplicates(leads: DataFrame, block_rows: int = BLOCK_ROWS) -> Resolution:
     """Decide for every distinct lead with a key whether it is kept."""
+    spark = leads.sparkSession
     # Filtered after the cut: a filter on the keys would be pushed into the scan
     # and compute them twice.
-    undecided = cut_lineage(key_rows(leads)).where(F.size("keys") > 0)
-    finished: list[DataFrame] = []
-    rounds = 0
-    while True:
+    rows = cut_lineage(key_rows(leads)).where(F.size("keys") > 0)
+    members = rows.select("row_id", F.explode("keys").alias("key"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > 1)
+    tangled_ids = cut_lineage(members.join(shared, "key", "left_semi").select("row_id").distinct())
+    tangled = rows.join(tangled_ids, "row_id", "left_semi")
+    columns = [*rows.columns, "kept"]
+    finished = scratch_path(spark, "decided")
+    rows.join(tangled_ids, "row_id", "left_anti").withColumn("kept", F.lit(True)).select(columns).write.parquet(finished)
+    named = tangled.join(connected_components(tangled), "row_id")
+    placed = with_position(named, [F.col(c).asc_nulls_first() for c in ORDER], "place", within=["component"])
+    open_rows = cut_lineage(placed.withColumn("block", F.floor((F.col("place") - 1) / block_rows)))
+    rounds = 1
+    while not open_rows.isEmpty():
         rounds += 1
-        if rounds % (rounds_before_split + 1) == 0:
-            state = cut_lineage(_finish_components(undecided, component_limit))
-        else:
-            state = cut_lineage(_one_round(undecided))
-        finished.append(state.where(F.col("kept").isNotNull()))
-        undecided = state.where(F.col("kept").isNull()).drop("kept")
-        if undecided.isEmpty():
-            return Resolution(reduce(DataFrame.unionByName, finished), rounds)
+        state = cut_lineage(_one_round(open_rows))
+        state.where(F.col("kept").isNotNull()).select(columns).write.mode("append").parquet(finished)
+        open_rows = state.where(F.col("kept").isNull()).drop("kept")
+    decided = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("kept", T.BooleanType())])).parquet(finished)
+    return Resolution(decided, rounds)
 
 
 def drop_duplicates(leads: DataFrame, resolution: Resolution | None = None) -> DataFrame:

@@ -15,7 +15,8 @@ def with_position(
 ) -> DataFrame:
     """Add the 1-based position in ``order_by`` order, counted anew for each ``within`` value.
 
-    ``order_by`` must be total.  Rows are range-partitioned on ``within`` and
+    Rows that tie in ``order_by`` follow a digest of the whole row, so equal input gives
+    equal positions.  Rows are range-partitioned on ``within`` and
     ``order_by`` together, so one value that holds a third of all rows still
     spreads over many tasks.  A window then numbers only the small table of row
     counts per task and value.  The sorted rows are checkpointed first because
@@ -23,6 +24,7 @@ def with_position(
     """
     keys = [F.col(c).asc_nulls_first() for c in within]
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order_by = [*order_by, F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]).asc()]
     placed = cut_lineage(
         df.repartitionByRange(tasks, *keys, *order_by)
         .sortWithinPartitions(*keys, *order_by)

@@ -72,18 +72,18 @@ def chain(length):
     ]
 
 
-def test_long_chain_is_finished_by_component(leads):
-    rows = chain(30)
-    got, result = kept_ids(leads(*rows), rounds_before_split=2)
+def test_long_chain_in_one_block(leads):
+    rows = chain(300)
+    got, result = kept_ids(leads(*rows))
     assert got == walk(rows)
-    assert result.rounds == 3
+    assert result.rounds == 2
 
 
-def test_chain_longer_than_the_component_limit(leads):
-    rows = chain(16)
-    got, result = kept_ids(leads(*rows), rounds_before_split=2, component_limit=5)
+def test_chain_over_several_blocks_takes_a_round_for_each(leads):
+    rows = chain(40)
+    got, result = kept_ids(leads(*rows), block_rows=10)
     assert got == walk(rows)
-    assert result.rounds > 3
+    assert result.rounds <= 5
 
 
 def test_dropped_rows_do_not_pass_their_keys_on(leads):

@@ -47,7 +47,8 @@ def test_wide_rows_are_shuffled_once(stored, no_broadcast):
 
 def test_first_row_of_a_key_is_combined_before_the_shuffle(stored):
     rows = identity.key_rows(prepared_leads(stored, AS_OF))
-    text = plan(identity._one_round(rows))
+    members = rows.select(F.explode("keys").alias("key"), F.lit(0).alias("block"))
+    text = plan(identity._spans(members))
     assert "partial_min" in text and "Window" not in text
 
 
