@@ -13,7 +13,6 @@ KEY_KINDS = ("lead_id", "handle", "email", "phone", "store_city")
 
 MIN_PHONE_DIGITS = 7
 MIN_EMAIL_LENGTH = 4
-REST = 1_000_000  # longer than any key: "to the end" for substring
 
 
 def handle_key(handle: ColumnLike, clean: bool = False) -> Column:
@@ -74,4 +73,4 @@ def kind_of(key: ColumnLike) -> Column:
 
 
 def value_of(key: ColumnLike) -> Column:
-    return F.substring(as_column(key), 3, REST)
+    return F.substr(as_column(key), F.lit(3))

@@ -34,6 +34,8 @@ MONTHS = {
     for spelling in dict.fromkeys((name, name[:3], "sept" if number == 9 else name))
 }
 DATE_SEPARATORS = r"[-/., :]+|(?<=\d)T"
+#: A time behind a date, which does not count.
+TIME_OF_DAY = r"(?<=\d)[T ,]+\d{1,2}:\d{2}.*$"
 
 
 def strip_sql(expression: str) -> str:
@@ -138,12 +140,16 @@ def _date_from_parts(parts: Column, as_of: date) -> Column:
         .when(this_year <= F.lit(as_of), this_year)
         .otherwise(_date_of(F.lit(str(as_of.year - 1)), month, day))
     )
-    numeric = F.coalesce(_date_of(third, second, first), _date_of(third, first, second))
+    # Two digits are a year of 1969 to 2068.
+    short = third.rlike(r"^\d{2}$")
+    year = F.when(short, F.concat(F.when(third >= "69", F.lit("19")).otherwise(F.lit("20")), third)).otherwise(third)
+    numeric = F.coalesce(_date_of(year, second, first), _date_of(year, first, second))
     return (
-        F.when(first.rlike(r"^\d{4}$"), _date_of(first, second, F.left(third, F.lit(2))))
+        F.when(first.rlike(r"^\d{4}$"), _date_of(first, second, F.regexp_extract(third, r"^([0-9]{1,2})$", 1)))
         .when(F.size(parts) > 3, F.lit(None).cast("date"))
-        .when(month.isNotNull(), F.when(third.isNull(), yearless).otherwise(_date_of(third, month, day)))
-        .when(F.length(third) == 4, numeric)
+        .when(month.isNotNull() & third.isNull() & day.rlike(r"^\d{4}$"), _date_of(day, month, F.lit("1")))
+        .when(month.isNotNull(), F.when(third.isNull(), yearless).otherwise(_date_of(year, month, day)))
+        .when(F.length(year) == 4, numeric)
     )
 
 
@@ -162,7 +168,10 @@ def date_of(text: ColumnLike, as_of: date) -> Column:
             )
             .when(
                 column.isNotNull(),
-                let(F.split(column, DATE_SEPARATORS), lambda parts: _date_from_parts(parts, as_of)),
+                let(
+                    F.split(F.regexp_replace(column, TIME_OF_DAY, ""), DATE_SEPARATORS),
+                    lambda parts: _date_from_parts(parts, as_of),
+                ),
             )
         )
 
@@ -170,10 +179,11 @@ def date_of(text: ColumnLike, as_of: date) -> Column:
 
 
 def clean_date(value: ColumnLike, as_of: date) -> Column:
-    """Date from ISO, day-first, month-first, ``23 Jul 2001`` or year-less text.
+    """Date from ISO, day-first, month-first, ``23 Jul 2001``, ``July 2025`` or year-less text.
 
-    ISO text keeps its meaning (a time behind it is cut), numeric dates are read
-    day first and month first only if that fails, and a date without a year is
+    ISO text keeps its meaning, numeric dates are read day first and month first only
+    if that fails, a time behind a date does not count, a year of two digits lies in
+    1969 to 2068, a month with a year is its first day, and a date without a year is
     the latest such day that is not after ``as_of``.
     """
     return date_of(blank_to_null(value), as_of)
@@ -182,7 +192,7 @@ def clean_date(value: ColumnLike, as_of: date) -> Column:
 def unflagged(text: ColumnLike) -> Column:
     """The e-mail as it was typed, without the flag of an earlier cleaning."""
     column = as_column(text)
-    return F.when(column.startswith(INVALID), strip(F.substring(column, len(INVALID) + 1, 1_000_000))).otherwise(
+    return F.when(column.startswith(INVALID), strip(F.substr(column, F.lit(len(INVALID) + 1)))).otherwise(
         column
     )
 

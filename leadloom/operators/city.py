@@ -151,7 +151,8 @@ def visit_order() -> list[Column]:
 def _itinerary(numbered: DataFrame) -> DataFrame:
     return numbered.select(
         "visit_order",
-        F.left(text.first_present("store_name", "handle", default="Unknown"), F.lit(27)).alias("store_name"),
+        text.first_present("store_name", "handle", default="Unknown").alias("store_name"),
+        F.left(text.first_present("store_name", "handle", default="Unknown"), F.lit(27)).alias("short_name"),
         "city",
         "stage",
         "reply_type",

@@ -36,13 +36,13 @@ def override_totals(leads: DataFrame) -> DataFrame:
 
 
 def override_details(leads: DataFrame) -> DataFrame:
-    """One line per corrected lead with what it said last (first 60 characters shown)."""
+    """One line per corrected lead with what it said last."""
     return leads.where("stage_overridden").select(
         "lead_id",
         text.first_present("handle", "store_name", "lead_id").alias("identifier"),
         "stage_raw",
         F.col("stage").alias("stage_now"),
-        F.left(F.coalesce("last_inbound_text", F.lit("")), F.lit(60)).alias("last_said"),
+        F.coalesce("last_inbound_text", F.lit("")).alias("last_said"),
     )
 
 

@@ -122,8 +122,14 @@ def uk_city_counts(leads: DataFrame) -> DataFrame:
 
 
 def money_sum(column: str) -> Column:
-    """Sum of pound amounts that does not depend on the order of the rows."""
-    return F.sum(F.coalesce(F.col(column), F.lit(0.0)).cast("decimal(24,6)"))
+    """Sum of pound amounts, as a double, that does not depend on the order of the rows.
+
+    Where an amount or the sum is too large for a decimal, the plain sum of doubles
+    stands in, so nothing is left out.
+    """
+    amount = F.coalesce(F.col(column), F.lit(0.0))
+    exact = amount.try_cast("decimal(24,6)")
+    return F.when(F.count_if(exact.isNull()) == 0, F.try_sum(exact).try_cast("double")).otherwise(F.sum(amount))
 
 
 def regional_hubs(leads: DataFrame) -> DataFrame:

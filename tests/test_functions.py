@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from leadloom.functions import keys, text
 from leadloom.functions.logic import contains_any, fill, fill_picked, shortest
+from leadloom.operators.shops import money_sum
 
 AS_OF = date(2026, 1, 20)
 
@@ -153,3 +154,26 @@ def test_filled_values_are_not_read_as_placeholders(spark):
     got = rows.select(fill_picked(["x {a} {b}", "y {a}"], "n", a="a", b=F.lit("B"))).collect()
     assert [r[0] for r in got] == ["x {b} B", "y z"]
     assert rows.select(fill("{a}!", a="a")).first()[0] == "{b}!"
+
+
+@pytest.mark.parametrize(
+    "typed, day",
+    [
+        ("23/07/26", date(2026, 7, 23)),
+        ("1/2/2026 10:30", date(2026, 2, 1)),
+        ("July 2025", date(2025, 7, 1)),
+        ("23 Jul 99", date(1999, 7, 23)),
+        ("2026-01-05 10:22:07", date(2026, 1, 5)),
+        ("2026-01-05T10:22:07Z", date(2026, 1, 5)),
+        ("2026-01-051", None),
+    ],
+)
+def test_dates_of_exports(spark, typed, day):
+    frame = spark.createDataFrame([(typed,)], "typed string")
+    assert frame.select(text.clean_date("typed", date(2026, 12, 1)).alias("day")).first().day == day
+
+
+def test_one_huge_amount_is_summed(spark):
+    frame = spark.createDataFrame([(1e30,), (5.0,), (None,)], "amount double")
+    assert frame.agg(money_sum("amount").alias("total")).first().total == 1e30
+    assert frame.where("amount < 10").agg(money_sum("amount").alias("total")).first().total == 5.0
