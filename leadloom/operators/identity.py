@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from leadloom import rules
 from leadloom.functions.keys import identity_keys, kind_of, value_of
 from leadloom.functions.logic import fill, first_match
+from leadloom.operators.components import components
 from leadloom.operators.ranking import with_position
 from leadloom.session import cut_lineage, scratch_path
 
@@ -87,27 +88,13 @@ def key_rows(leads: DataFrame) -> DataFrame:
 
 
 def connected_components(rows: DataFrame) -> DataFrame:
-    """``row_id`` and ``component`` of the "shares a key" graph.
-
-    Labels spread over keys and then jump to the label of the label, which
-    shortens a chain by half and more in every step.
-    """
+    """``row_id`` and ``component`` of the "shares a key" graph: each row hangs on the first of its keys."""
     links = cut_lineage(rows.select("row_id", F.explode("keys").alias("key")))
-    labels = links.select("row_id", F.col("row_id").alias("label")).distinct()
-    while True:
-        by_key = links.join(labels, "row_id").groupBy("key").agg(F.min("label").alias("label"))
-        spread = (
-            links.join(by_key, "key").groupBy("row_id").agg(F.min("label").alias("near"))
-        )
-        far = spread.select(F.col("row_id").alias("near"), F.col("near").alias("far"))
-        jumped = cut_lineage(
-            spread.join(far, "near", "left")
-            .join(labels.withColumnRenamed("label", "before"), "row_id")
-            .select("row_id", F.least("near", "far").alias("label"), "before")
-        )
-        labels = jumped.select("row_id", "label")
-        if jumped.where(F.col("label") != F.col("before")).isEmpty():
-            return labels.withColumnRenamed("label", "component")
+    firsts = links.groupBy("key").agg(F.min("row_id").alias("b"))
+    found = components(links.join(firsts, "key").select(F.col("row_id").alias("a"), "b"))
+    return links.select("row_id").distinct().join(found, F.col("row_id") == F.col("node"), "left").select(
+        "row_id", F.coalesce("root", "row_id").alias("component")
+    )
 
 
 def _walk(rows: pd.DataFrame) -> pd.DataFrame:
