@@ -75,14 +75,20 @@ def shingles(text: str | None, codes: WordCodes, size: int = SHINGLE_WORDS) -> n
 
 
 #: Bytes of a batch that Python objects are made of at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def in_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in order, in smaller batches: a batch of long texts becomes many."""
     for batch in batches:
-        if batch.num_rows > 1 and (batch.num_rows > rows or batch.nbytes > SLICE_BYTES):
-            half = batch.num_rows // 2
-            yield from in_batches(iter((batch.slice(0, half), batch.slice(half))), rows)
-        elif batch.num_rows:
-            yield batch
+        yield from _halves(batch, rows)
+        pa.default_memory_pool().release_unused()
+
+
+def _halves(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    if batch.num_rows > 1 and (batch.num_rows > rows or batch.nbytes > SLICE_BYTES):
+        half = batch.num_rows // 2
+        yield from _halves(batch.slice(0, half), rows)
+        yield from _halves(batch.slice(half), rows)
+    elif batch.num_rows:
+        yield batch

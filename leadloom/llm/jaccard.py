@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadloom.llm.common import WordCodes, column_or, in_batches, mixed, shingles
-from leadloom.llm.components import components as connected
+from leadloom.operators.components import components as connected
 from leadloom.operators.ranking import with_position
 from leadloom.session import cut_lineage
 
