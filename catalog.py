@@ -604,6 +604,17 @@ ENTRIES["visits_without_confirmations"] = (
     ),
     query(f"SELECT {SHOP_LIST}, true AS appointment_confirmed FROM shop_plan WHERE false", "clean", extra=SHOPS),
 )
+ENTRIES["visits_with_strange_confirmations"] = (
+    lambda spark, folder: shops.confirmed_visits(
+        shops.plan_shops(clean(spark, folder)), fixtures.strange_confirmations(spark, folder)
+    ),
+    query(
+        f"SELECT {SHOP_LIST}, true AS appointment_confirmed FROM shop_plan "
+        "WHERE CAST(SUBSTR(lead_id, 2) AS BIGINT) % 4 = 0",
+        "clean",
+        extra=SHOPS,
+    ),
+)
 ENTRIES["uk_city_counts"] = (
     lambda spark, folder: shops.uk_city_counts(clean(spark, folder)),
     query(
@@ -755,14 +766,15 @@ def _draft_sql(channel: str, source: str) -> str:
     return f"""SELECT *, CASE {' '.join(chosen['message'])} END AS drafted_message,
         CASE {' '.join(chosen['next_action'])} END AS next_action,
         CASE {' '.join(chosen['follow_up_date'])} END AS follow_up_date
-      FROM (SELECT *, {greeting} AS d_greeting, coalesce(email, phone) AS d_contact,
-          CASE WHEN email IS NOT NULL THEN 'I''ll get that sent straight over to ' || email || ' now.'
+      FROM (SELECT *, {greeting} AS d_greeting, coalesce(d_email, phone) AS d_contact,
+          CASE WHEN d_email IS NOT NULL THEN 'I''ll get that sent straight over to ' || d_email || ' now.'
             WHEN phone IS NOT NULL THEN 'I''ll drop that straight into WhatsApp on ' || phone || ' now.'
             ELSE 'What''s the best email or WhatsApp to send that straight over to?' END AS d_contact_line,
           CASE {day} END AS d_day, CASE {hook} ELSE {sql.quoted(rules.HOOK_DEFAULT)} END AS d_hook,
           coalesce(store_name, {town}, 'your store') AS d_subject, coalesce(store_name, 'your store') AS d_store,
           {place} AS d_city
-        FROM (SELECT *, lower(coalesce(last_inbound_text, '')) AS d_said FROM {source}) a) b"""
+        FROM (SELECT *, lower(coalesce(last_inbound_text, '')) AS d_said,
+            CASE WHEN email LIKE '%@%.%' AND email NOT LIKE '% %' THEN email END AS d_email FROM {source}) a) b"""
 
 
 RESELLER_DRAFTS = f"""SELECT lead_id, handle, contact_name, stage, last_inbound_text, reply_type, obj_type, priority_score,
@@ -786,7 +798,7 @@ ENTRIES["known_contact"] = (
         "lead_id", "known_contact", "message_category"
     ),
     query(
-        f"SELECT lead_id, coalesce(email, phone, nullif(regexp_extract(notes, '{text.EMAIL_IN_TEXT}', 0), '')) "
+        f"SELECT lead_id, coalesce(CASE WHEN email_valid THEN email END, phone, nullif(regexp_extract(notes, '{text.EMAIL_IN_TEXT}', 0), '')) "
         "AS known_contact, CASE WHEN reply_type IN ('hot', 'warm') THEN 2 ELSE 1 END AS message_category FROM clean",
         "clean",
     ),
@@ -859,16 +871,19 @@ ENTRIES["load_summary"] = (
 
 RAW_WALK = {
     "b_ordered": "SELECT *, row_number() OVER (ORDER BY last_touch_date DESC NULLS LAST, lead_id) AS n FROM "
-                 f"({sql.keyed('fresh_geo')}) k",
+                 f"({sql.keyed('campaign_geo')}) k",
     "b_walk": sql.TABLES["walk"].replace("walk w", "b_walk w").replace("ordered o", "b_ordered o"),
 }
 ENTRIES["within_batch"] = (
     lambda spark, folder: batch.clean_new_leads(
-        batch.new_rows(checked(spark, folder)), AS_OF, within_batch=True
-    ).select("lead_id", "handle", "store_name"),
+        batch.new_rows(batch.check_batch(fixtures.campaign_batch(spark, folder), clean(spark, folder))),
+        AS_OF,
+        within_batch=True,
+    ).select("lead_id", "handle", "store_name", "campaign", "reason"),
     query(
-        "SELECT o.lead_id, o.handle, o.store_name FROM b_ordered o JOIN b_walk w ON o.n = w.n WHERE w.kept",
-        "fresh_geo",
+        "SELECT o.lead_id, o.handle, o.store_name, b.campaign, b.reason FROM b_ordered o JOIN b_walk w ON o.n = w.n "
+        "JOIN campaign_batch b ON b.lead_id = o.lead_id WHERE w.kept",
+        "campaign_geo", "campaign_batch",
         extra=RAW_WALK,
     ),
 )
@@ -893,6 +908,50 @@ def streamed_load(spark, folder):
     )
 
 
+WITH_CAMPAIGN = (
+    "SELECT 'first_load' AS batch_id, lead_id, lead_type, stage, NULL::VARCHAR AS personalisation_signals, "
+    "NULL::VARCHAR AS campaign, NULL::VARCHAR AS reason FROM clean "
+    "UNION ALL SELECT '{}', f.lead_id, f.lead_type, f.stage, f.personalisation_signals, b.campaign, b.reason "
+    "FROM campaign_clean f JOIN campaign_batch b ON b.lead_id = f.lead_id"
+)
+CAMPAIGN_COLUMNS = ("lead_id", "lead_type", "stage", "personalisation_signals", "campaign", "reason")
+
+
+@entry("additional_columns", query(WITH_CAMPAIGN.format("fair"), "clean", "campaign_clean", "campaign_batch"))
+def additional_columns(spark, folder):
+    """Columns of the batch's own reach the base, one of them named like a column of the check."""
+    root = scratch_path(spark, "additional")
+    tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
+    load_batch(fixtures.campaign_batch(spark, folder), f"{root}/base", f"{root}/rejected", "fair", AS_OF)
+    return tables.read_base(spark, f"{root}/base").select("batch_id", *CAMPAIGN_COLUMNS)
+
+
+@entry("stream_additional_columns", query(WITH_CAMPAIGN.format("stream-0"), "clean", "campaign_clean", "campaign_batch"))
+def stream_additional_columns(spark, folder):
+    root = scratch_path(spark, "additional")
+    tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
+    tables.write_leads(fixtures.campaign_batch(spark, folder), f"{root}/incoming")
+    ingest_stream(
+        spark, f"{root}/incoming", f"{root}/base", f"{root}/rejected", f"{root}/progress", AS_OF
+    ).awaitTermination()
+    return tables.read_base(spark, f"{root}/base").select(
+        F.regexp_replace("batch_id", "-[0-9a-f-]{36}-", "-").alias("batch_id"), *CAMPAIGN_COLUMNS
+    )
+
+
+@entry(
+    "clean_twice",
+    query(
+        f"SELECT {sql.CLEAN_COLUMNS}, 'list ' || assigned_bdr AS source_list FROM typed_clean", "typed_clean"
+    ),
+)
+def clean_twice(spark, folder):
+    """A cleaned table, read as text and cleaned again: nothing changes."""
+    path = scratch_path(spark, "once")
+    tables.write_leads(clean_plan.clean_leads(fixtures.typed_leads(spark, folder), AS_OF), path)
+    return clean_plan.clean_leads(tables.read_leads(spark, path), AS_OF)
+
+
 BASE_AND_FRESH = (
     "SELECT 'first_load' AS batch_id, lead_id, lead_type, stage FROM clean "
     "UNION ALL SELECT '{}', lead_id, lead_type, stage FROM fresh_clean"

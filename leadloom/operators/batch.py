@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadloom import rules
 from leadloom.functions.keys import identity_keys
 from leadloom.functions.text import clean_handle, strip
+from leadloom.operators.additional import pack, packed_name, unpack, unpacked
 from leadloom.operators.classify import classify_leads, note_hints
 from leadloom.operators.geo import repair_geography
 from leadloom.operators.identity import drop_duplicates, duplicate_reason, with_row_id
@@ -34,7 +35,7 @@ def check_batch(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     are grouped, so a small batch is broadcast to the large table and not the
     other way round.  Rows of the batch are not compared with each other.
     """
-    rows = with_row_id(incoming)
+    rows = with_row_id(pack(incoming))
     keys = rows.select("row_id", F.explode(identity_keys()).alias("key")).distinct()
     wanted = keys.select("key").distinct()
     found = (
@@ -61,11 +62,17 @@ def check_batch(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def new_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("reason").isNull()).drop("reason", "matched_lead_id")
+    """Incoming rows without a known key, as they came."""
+    return unpack(checked.where(F.col("reason").isNull()).drop("reason", "matched_lead_id"))
 
 
 def rejections(checked: DataFrame) -> DataFrame:
-    """Rejected rows with reason and action; written even if nothing is new."""
+    """Rejected rows with reason and action; written even if nothing is new.
+
+    Additional columns stay in the log, as one text in JSON form: what was rejected
+    can then be read in full.
+    """
+    additional = [F.to_json(name).alias("additional") for name in packed_name(checked)]
     return (
         checked.where(F.col("reason").isNotNull())
         .withColumns(
@@ -75,14 +82,14 @@ def rejections(checked: DataFrame) -> DataFrame:
                 "action": F.lit(rules.DUPLICATE_ACTION),
             }
         )
-        .select(*REJECTION_COLUMNS)
+        .select(*REJECTION_COLUMNS, *additional)
     )
 
 
 def clean_new_leads(
     fresh: DataFrame, as_of: date, within_batch: bool = False, brand: rules.Brand = rules.Brand()
 ) -> DataFrame:
-    """New rows through the full cleaning, with ``personalisation_signals``.
+    """New rows through the full cleaning, with ``personalisation_signals`` and any additional columns.
 
     ``within_batch`` also removes duplicates inside the batch.
     """
@@ -90,9 +97,9 @@ def clean_new_leads(
     if within_batch:
         # Read several times below; the batch check must not run again for each.
         leads = drop_duplicates(cut_lineage(with_row_id(leads)))
-    return classify_leads(leads, as_of).select(
-        *CLEAN_COLUMNS, note_hints("notes", brand).alias("personalisation_signals")
-    )
+    signals = note_hints("notes", brand).alias("personalisation_signals")
+    other = unpacked(leads, without=["personalisation_signals"])
+    return classify_leads(leads, as_of).select(*CLEAN_COLUMNS, signals, *other)
 
 
 def append_columns(base: DataFrame, new: DataFrame) -> DataFrame:

@@ -175,11 +175,13 @@ def reconcile_stages(leads: DataFrame) -> DataFrame:
     """Replace ``stage`` and add ``stage_overridden``; needs the message signals.
 
     Every rule that keeps a stage returns it unchanged, so a stage was overridden
-    exactly if it differs.
+    exactly if it differs, or if an earlier cleaning overrode it.
     """
+    before = F.col("_stage_overridden") if "_stage_overridden" in leads.columns else F.lit(None)
+    differs = F.col("_evidence") != F.col("stage")
     return leads.withColumn("_evidence", reconciled_stage()).withColumns(
-        {"stage": F.col("_evidence"), "stage_overridden": F.col("_evidence") != F.col("stage")}
-    ).drop("_evidence")
+        {"stage": F.col("_evidence"), "stage_overridden": differs | F.coalesce(before, F.lit(False))}
+    ).drop("_evidence", "_stage_overridden")
 
 
 def waited_too_long(as_of: date) -> Column:

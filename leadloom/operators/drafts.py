@@ -38,22 +38,27 @@ def day_mentioned(message: str, whole_words: bool = False) -> Column:
     )
 
 
-def with_known_contact(leads: DataFrame) -> DataFrame:
+def usable_email(literal: bool = False) -> Column:
+    """The address unless it is flagged as broken; ``literal`` takes the text as it is."""
+    return F.col("email") if literal else F.when(~F.col("email").startswith(text.INVALID), F.col("email"))
+
+
+def with_known_contact(leads: DataFrame, literal_emails: bool = False) -> DataFrame:
     """Add ``known_contact`` (e-mail, phone or e-mail in notes) and ``message_category``."""
     active = F.col("reply_type").isin("hot", "warm")
     return leads.withColumns(
         {
-            "known_contact": F.coalesce(F.col("email"), F.col("phone"), text.email_in_text("notes")),
+            "known_contact": F.coalesce(usable_email(literal_emails), F.col("phone"), text.email_in_text("notes")),
             "message_category": F.when(active, 2).otherwise(1),
         }
     )
 
 
-def contact_line() -> Column:
+def contact_line(email: str = "email") -> Column:
     """Sentence that sends the details to a known address or asks for one."""
     return first_match(
         [
-            (F.col("email").isNotNull(), fill(rules.CONTACT_LINES["email"], email="email")),
+            (F.col(email).isNotNull(), fill(rules.CONTACT_LINES["email"], email=email)),
             (F.col("phone").isNotNull(), fill(rules.CONTACT_LINES["phone"], phone="phone")),
         ],
         rules.CONTACT_LINES["ask"],
@@ -103,10 +108,16 @@ def _templates(channel: str, whole_words: bool) -> list[tuple[Column, str, tuple
 
 
 def with_draft(
-    leads: DataFrame, channel: str, brand: rules.Brand = rules.Brand(), whole_words: bool = False
+    leads: DataFrame,
+    channel: str,
+    brand: rules.Brand = rules.Brand(),
+    whole_words: bool = False,
+    literal_emails: bool = False,
 ) -> DataFrame:
     """Add drafted_message, next_action, follow_up_date and template.
 
+    An address that is flagged as broken is not written to, unless ``literal_emails``.
+
     Each row first gets the number of its template; the texts are then picked and
     filled.  City, phone and store name are optional columns.
     """
@@ -116,7 +127,8 @@ def with_draft(
     prepared = leads.withColumns(
         {
             "_said": F.lower(F.coalesce("last_inbound_text", F.lit(""))),
-            "_contact": F.coalesce("email", "phone"),
+            "_email": usable_email(literal_emails),
+            "_contact": F.coalesce(usable_email(literal_emails), "phone"),
             "_meeting": F.coalesce(F.col("stage") == "Meeting Booked", F.lit(False)),
         }
     ).withColumn("_day", day_mentioned("_said", whole_words))
@@ -127,7 +139,7 @@ def with_draft(
     texts, actions, follow_ups = zip(*[result for _, _, result in cases], strict=True)
     values = {
         "greeting": F.when(F.col("_meeting"), meeting_greeting(channel)).otherwise(greeting(channel)),
-        "contact_line": contact_line(),
+        "contact_line": contact_line("_email"),
         "contact": "_contact",
         "day": "_day",
         "hook": cold_hook(),
@@ -143,7 +155,7 @@ def with_draft(
             "follow_up_date": pick(follow_ups, "_number"),
             "template": pick([name for _, name, _ in cases], "_number"),
         }
-    ).drop("_said", "_contact", "_meeting", "_day", "_number")
+    ).drop("_said", "_email", "_contact", "_meeting", "_day", "_number")
 
 
 def reseller_messages(queue: DataFrame, brand: rules.Brand = rules.Brand()) -> DataFrame:

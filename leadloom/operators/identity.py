@@ -14,7 +14,7 @@ Independent Set and Matching are Parallel on Average", SPAA 2012).
   settles at least the first open block of every component.
 * A key is never gathered into one group: its first open row is a ``min`` (combined
   before the shuffle) and its rows meet the taken keys in a join with one row for each key.
-* Only row id, order and keys take part; the wide rows are shuffled once.
+* Only row id, order and keys take part; the wide rows are shuffled at most once and never sorted to collapse copies.
 * Each round is written to the shared folder, so lost executors cost one round at most.
 """
 
@@ -183,19 +183,19 @@ def resolve_duplicates(leads: DataFrame, block_rows: int = BLOCK_ROWS) -> Resolu
 def drop_duplicates(leads: DataFrame, resolution: Resolution | None = None) -> DataFrame:
     """Leads that survive the five-key rule; ``leads`` are normalised and have ``row_id``.
 
-    Leads without any key are always kept, every copy of them.  Equal rows
-    collapse before the shuffle; the join reuses that shuffle's partitioning.
+    Leads without any key are always kept, every copy of them.  Most rows only pass an
+    anti join with the narrow table of ids that are dropped or occur repeatedly; equal
+    rows collapse among the repeated ids alone.  Both joins read the same shuffle of the
+    leads, which should be a written table.
     """
     resolution = resolution or resolve_duplicates(leads)
-    keyless = F.size(identity_keys(clean=True)) == 0
-    single = F.when(
-        keyless, F.concat("row_id", F.lit("#"), F.monotonically_increasing_id().cast("string"))
-    ).otherwise(F.col("row_id"))
-    return (
-        leads.withColumn("row_id", single)
-        .dropDuplicates(["row_id"])
-        .join(resolution.dropped.select("row_id"), "row_id", "left_anti")
-    )
+    # Says what holds anyway; without it only one of the two scans would test for it.
+    leads = leads.where(F.col("row_id").isNotNull())
+    repeated = F.col("kept") & (F.col("copies") > 1)
+    special = resolution.decided.where(~F.col("kept") | repeated).select("row_id")
+    once = leads.join(special, "row_id", "left_anti")
+    collapsed = leads.join(resolution.decided.where(repeated).select("row_id"), "row_id", "left_semi")
+    return once.unionByName(collapsed.dropDuplicates(["row_id"]))
 
 
 def duplicate_reason(key: Column, store: Column, city: Column) -> Column:

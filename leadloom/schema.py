@@ -19,8 +19,12 @@ MONEY_COLUMNS = ("avg_listing_price_gbp", "est_monthly_spend_gbp")
 
 CLEAN_COLUMNS = RAW_COLUMNS + (
     "email_valid", "lead_type", "stage_raw", "stage_overridden", "reply_type", "obj_type", "overdue",
+    "has_metrics",
 )
 
+# Struct of the columns that are not known, on the way through the cleaning.
+ADDITIONAL = "_additional"
+
 CONFIRMATION_SCHEMA = T.StructType(
     [T.StructField("lead_id", T.StringType()), T.StructField("confirmed_for", T.DateType())]
 )

@@ -81,6 +81,34 @@ WHERE store_name IS NOT NULL AND CAST(SUBSTR(lead_id, 2) AS BIGINT) % 3 = 0
 """
 
 
+# Agreed visits for every fourth lead, shop or not, and as many for leads that nobody knows.
+STRANGE_CONFIRMATIONS_SQL = """\
+SELECT lead_id, DATE '2001-08-07' AS confirmed_for FROM {raw_leads} WHERE CAST(SUBSTR(lead_id, 2) AS BIGINT) % 4 = 0
+UNION ALL SELECT 'X' || SUBSTR(lead_id, 2), DATE '2001-08-07' FROM {raw_leads} WHERE CAST(SUBSTR(lead_id, 2) AS BIGINT) % 4 = 1
+"""
+
+# The day-2 batch with a column of its own, and every third of its leads a second time under another id.
+CAMPAIGN_BATCH_SQL = """\
+SELECT d.*, 'fair ' || SUBSTR(lead_id, 8, 1) AS campaign, 'typed' AS reason FROM {day2_batch} d
+UNION ALL
+SELECT 'R' || SUBSTR(lead_id, 2) AS lead_id, handle, contact_name, store_name, email, phone, city, country, followers,
+  active_listings, sales_velocity_30d, avg_listing_price_gbp, est_monthly_spend_gbp, stage, first_seen_date,
+  last_touch_date, num_touches, last_inbound_text, notes, assigned_bdr, NULL AS campaign, 'again' AS reason
+FROM {day2_batch} WHERE CAST(SUBSTR(lead_id, 2) AS BIGINT) % 3 = 0
+"""
+
+# Raw leads whose metrics only the text tells apart: not a number, and zero written with a decimal.
+TYPED_LEADS_SQL = """\
+SELECT lead_id, handle, contact_name, store_name, email, phone, city, country,
+  CASE WHEN CAST(SUBSTR(lead_id, 2) AS BIGINT) % 5 = 0 THEN 'tbc' WHEN CAST(SUBSTR(lead_id, 2) AS BIGINT) % 5 = 1 THEN '0.0'
+       ELSE followers END AS followers,
+  active_listings, CASE WHEN CAST(SUBSTR(lead_id, 2) AS BIGINT) % 10 < 7 THEN sales_velocity_30d END AS sales_velocity_30d,
+  avg_listing_price_gbp, est_monthly_spend_gbp, stage, first_seen_date, last_touch_date, num_touches, last_inbound_text,
+  notes, assigned_bdr, 'list ' || assigned_bdr AS source_list
+FROM {raw_leads}
+"""
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -97,6 +125,21 @@ def day2_batch(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(DAY2_BATCH_SQL, raw_leads=raw_leads(spark, folder))
 
 
+def campaign_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The day-2 batch with additional columns and duplicates inside the batch."""
+    return spark.sql(CAMPAIGN_BATCH_SQL, day2_batch=day2_batch(spark, folder))
+
+
+def typed_leads(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw leads with metrics such as ``tbc`` and ``0.0``, and a column of their own."""
+    return spark.sql(TYPED_LEADS_SQL, raw_leads=raw_leads(spark, folder))
+
+
 def confirmations(spark: SparkSession, folder: str) -> DataFrame:
     """Agreed visits for a third of the shops."""
     return spark.sql(CONFIRMATIONS_SQL, raw_leads=raw_leads(spark, folder))
+
+
+def strange_confirmations(spark: SparkSession, folder: str) -> DataFrame:
+    """Agreed visits, most of them for leads that are no shop or do not exist."""
+    return spark.sql(STRANGE_CONFIRMATIONS_SQL, raw_leads=raw_leads(spark, folder))

@@ -36,11 +36,16 @@ def read_leads_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def align_raw(found: DataFrame) -> DataFrame:
     """The known columns first, as text, then any additional columns."""
+    there = {name.lower() for name in found.columns}
     known = [
-        (F.col(field.name) if field.name in found.columns else F.lit(None)).cast("string").alias(field.name)
+        (F.col(field.name) if field.name in there else F.lit(None)).cast("string").alias(field.name)
         for field in RAW_SCHEMA
     ]
-    other = [F.col(f"`{name}`").cast("string") for name in found.columns if name not in RAW_SCHEMA.names]
+    other = [
+        F.col("`" + name.replace("`", "``") + "`").cast("string").alias(name)
+        for name in found.columns
+        if name.lower() not in RAW_SCHEMA.names
+    ]
     return found.select(*known, *other)
 
 
@@ -64,7 +69,8 @@ def append_to_base(new: DataFrame, base_path: str, batch_id: str | int) -> None:
     """Add rows to the permanent base without touching the rows already there.
 
     A batch owns one partition; writing the same batch again replaces only that
-    partition, so a repeated job adds nothing twice.
+    partition, so a repeated job adds nothing twice.  A ``batch_id`` column of the
+    rows gives way to the partition's.
     """
     new.drop(BATCH_COLUMN).write.mode("overwrite").parquet(batch_path(base_path, batch_id))
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from leadloom import rules
+from leadloom.operators.additional import pack
 from leadloom.operators.batch import check_batch, clean_new_leads, new_rows, rejections
 from leadloom.schema import RAW_SCHEMA
 from leadloom.session import cut_lineage
-from leadloom.sources.tables import BATCH_COLUMN, CSV_OPTIONS, append_to_base, batch_path, find_base
+from leadloom.sources.tables import BATCH_COLUMN, CSV_OPTIONS, align_raw, append_to_base, batch_path, find_base
 
 
 def load_batch(
@@ -30,6 +33,7 @@ def load_batch(
     with what an earlier attempt of itself wrote: a repeat gives the same result.
     """
     spark = incoming.sparkSession
+    incoming = pack(align_raw(incoming))
     base = find_base(spark, base_path)
     if base is not None:
         checked = check_batch(incoming, base.where(F.col(BATCH_COLUMN) != str(batch_id)))
@@ -43,6 +47,16 @@ def load_batch(
     append_to_base(fresh, base_path, batch_id)
 
 
+def _incoming_schema(spark: SparkSession, path: str, file_format: str, options: dict) -> StructType:
+    """Columns of the files that are there; the known ones if there is no file yet."""
+    try:
+        return spark.read.options(**options).format(file_format).load(path).schema
+    except AnalysisException as failure:
+        if failure.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return RAW_SCHEMA
+        raise
+
+
 def ingest_stream(
     spark: SparkSession,
     incoming_path: str,
@@ -59,14 +73,16 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Load all files that are new since the last run, then stop.
 
+    Columns are those of the files found at the start; additional ones go to the base.
+
     Each micro-batch is joined with the base as it is at that moment, so leads of
     one batch are known to the next.  Its partition carries the stream's name and the
     id that the checkpoint keeps, so another stream, or the same one after it lost its
     checkpoint, never writes to a partition of this one.
     """
-    reader = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files_per_batch)
-    if file_format == "csv":
-        reader = reader.options(multiLine=multi_line, **CSV_OPTIONS)
+    options = {"multiLine": multi_line, **CSV_OPTIONS} if file_format == "csv" else {"mergeSchema": True}
+    schema = _incoming_schema(spark, incoming_path, file_format, options)
+    reader = spark.readStream.schema(schema).options(**options).option("maxFilesPerTrigger", max_files_per_batch)
 
     def load(incoming: DataFrame, batch_id: int) -> None:
         kept = spark.read.schema("id string").json(f"{checkpoint_path}/metadata").first()

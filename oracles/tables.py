@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 
 from leadloom import rules
-from leadloom.sources.fixtures import CONFIRMATIONS_SQL, DAY2_BATCH_SQL, RAW_LEADS_SQL
+from leadloom.sources.fixtures import CAMPAIGN_BATCH_SQL, CONFIRMATIONS_SQL, DAY2_BATCH_SQL, RAW_LEADS_SQL, TYPED_LEADS_SQL
 
 AS_OF = "DATE '2001-08-02'"
 
@@ -227,7 +227,7 @@ def classified(source: str) -> str:
           FROM (SELECT *, {message('last_inbound_text')} AS msg FROM {source}) m) c) o"""
 
 
-CLEAN_COLUMNS = RAW_COLUMNS + ", email_valid, lead_type, stage_raw, stage_overridden, reply_type, obj_type, overdue"
+CLEAN_COLUMNS = RAW_COLUMNS + ", email_valid, lead_type, stage_raw, stage_overridden, reply_type, obj_type, overdue, has_metrics"
 
 DUPLICATE_REASON = (
     "CASE left(hit, 1) WHEN '0' THEN 'lead_id ' || substr(hit, 3) || ' already in pipeline' "
@@ -241,6 +241,12 @@ DUPLICATE_REASON = (
 TABLES: dict[str, str] = {
     "raw_leads": RAW_LEADS_SQL.format(customer="customer", orders="orders"),
     "day2_batch": DAY2_BATCH_SQL.format(raw_leads="raw_leads"),
+    "campaign_batch": CAMPAIGN_BATCH_SQL.format(day2_batch="day2_batch"),
+    "typed_leads": TYPED_LEADS_SQL.format(raw_leads="raw_leads"),
+    "typed_norm": normalised("typed_leads"),
+    "typed_geo": repaired("typed_norm"),
+    "typed_ordered": "SELECT *, row_number() OVER (ORDER BY last_touch_date DESC NULLS LAST, lead_id) AS n FROM "
+                     f"({keyed('typed_geo')}) k",
     "confirmations": CONFIRMATIONS_SQL.format(raw_leads="raw_leads"),
     "norm": normalised("raw_leads"),
     "geo": repaired("norm"),
@@ -272,10 +278,24 @@ TABLES: dict[str, str] = {
     "fresh_clean": f"SELECT *, {hints('notes')} AS personalisation_signals FROM ({classified('fresh_geo')}) f",
 }
 
+TABLES["typed_walk"] = TABLES["walk"].replace("walk w", "typed_walk w").replace("ordered o", "typed_ordered o")
+TABLES["typed_clean"] = classified("(SELECT o.* FROM typed_ordered o JOIN typed_walk w ON o.n = w.n WHERE w.kept) k")
+TABLES["campaign_keys"] = TABLES["batch_keys"].replace("day2_batch", "campaign_batch").replace("b.*", "b.* EXCLUDE (campaign, reason)")
+TABLES["campaign_checked"] = TABLES["checked"].replace("batch_keys", "campaign_keys")
+TABLES["campaign_fresh"] = TABLES["fresh"].replace("checked", "campaign_checked")
+TABLES["campaign_norm"] = normalised("campaign_fresh")
+TABLES["campaign_geo"] = repaired("campaign_norm")
+TABLES["campaign_clean"] = f"SELECT *, {hints('notes')} AS personalisation_signals FROM ({classified('campaign_geo')}) f"
+
 NEEDS = {
     "day2_batch": ("raw_leads",), "confirmations": ("raw_leads",), "norm": ("raw_leads",), "geo": ("norm",),
     "keyed": ("geo",), "ordered": ("keyed",), "walk": ("ordered",), "kept": ("walk", "ordered"), "single": ("geo",),
     "clean": ("kept",), "known": ("kept",), "batch_keys": ("day2_batch",), "checked": ("batch_keys", "known"),
+    "campaign_batch": ("day2_batch",), "typed_leads": ("raw_leads",), "typed_norm": ("typed_leads",),
+    "typed_geo": ("typed_norm",), "typed_ordered": ("typed_geo",),
+    "typed_walk": ("typed_ordered",), "typed_clean": ("typed_walk", "typed_ordered"),
+    "campaign_keys": ("campaign_batch",), "campaign_checked": ("campaign_keys", "known"), "campaign_fresh": ("campaign_checked",),
+    "campaign_norm": ("campaign_fresh",), "campaign_geo": ("campaign_norm",), "campaign_clean": ("campaign_geo",),
     "fresh": ("checked",), "fresh_norm": ("fresh",), "fresh_geo": ("fresh_norm",), "fresh_clean": ("fresh_geo",),
 }
 

@@ -86,6 +86,16 @@ def test_known_contact_is_used(leads):
     assert row.drafted_message.endswith("I can send the full shipping breakdown to 0712 beforehand.")
 
 
+def test_a_broken_address_is_not_written_to(leads):
+    lead = {"handle": "cinder", "last_inbound_text": "how does payout work", "email": "bad-address"}
+    row = draft(leads, **lead)
+    assert "INVALID" not in row.drafted_message and row.drafted_message.endswith("send that straight over to?")
+    assert "on 0712 now" in draft(leads, **lead, phone="0712").drafted_message
+    rows = classified_leads(leads({"lead_id": "L1", **lead}), RUN)
+    assert "INVALID: bad-address" in drafts.with_draft(rows, "dm", BRAND, literal_emails=True).first().drafted_message
+    assert drafts.with_known_contact(rows).first().known_contact is None
+
+
 def test_cold_email_has_a_subject(leads):
     row = draft(leads, "email", contact_name="Maya", store_name="Rust", city="Leeds", num_touches="1")
     assert row.drafted_message.startswith("Subject: Wholesale sourcing for Rust\n\nHi Maya,\n\nI came across Rust in Leeds")

@@ -93,6 +93,24 @@ def test_base_may_gain_columns(spark, leads):
     ]
 
 
+def test_a_batch_brings_columns_of_its_own(spark, leads):
+    root = start(spark, leads)
+    rows = leads(SAME, NEW).withColumns({"campaign": F.lit("fair"), "reason": F.lit("typed"), "hit": F.lit("h")})
+    load_batch(rows, f"{root}/base", f"{root}/rejected", 1, AS_OF)
+    load_batch(leads({"lead_id": "L9", "handle": "@other"}).withColumn("campaign", F.lit(7)), f"{root}/base", f"{root}/rejected", 2, AS_OF)
+    base = tables.read_base(spark, f"{root}/base").orderBy("lead_id").collect()
+    assert [(r.lead_id, r.campaign, r.reason, r.hit) for r in base] == [
+        ("L0130", None, None, None), ("L0300", "fair", "typed", "h"), ("L9", "7", None, None)
+    ]
+    rejected = spark.read.parquet(tables.batch_path(f"{root}/rejected", 1)).first()
+    assert rejected.reason.startswith("handle") and rejected.additional == '{"campaign":"fair","reason":"typed","hit":"h"}'
+
+
+def test_columns_are_found_whatever_their_case(spark):
+    found = tables.align_raw(spark.createDataFrame([("L1", "a@b.c", "x")], "Lead_ID string, EMAIL string, Own string")).first()
+    assert (found.lead_id, found.email, found.Own) == ("L1", "a@b.c", "x")
+
+
 def test_csv_round_trip_keeps_text(spark, leads):
     path = scratch_path(spark, "csv")
     raw = leads({"lead_id": "L1", "notes": 'said "hi",\nthen left', "handle": " @x "}, {"lead_id": "L2", "notes": "nan"})
@@ -110,11 +128,13 @@ def test_csv_columns_are_found_by_name(spark, leads):
 
 def test_stream_reads_csv(spark, leads):
     root = start(spark, leads)
-    tables.write_leads(leads(SAME, NEW), f"{root}/incoming", "csv")
+    rows = leads(SAME, NEW).select(F.lit("fair").alias("campaign"), "notes", "handle", "lead_id", "followers")
+    tables.write_leads(rows.coalesce(1), f"{root}/incoming", "csv")
     ingest_stream(
         spark, f"{root}/incoming", f"{root}/base", f"{root}/rejected", f"{root}/progress", AS_OF, file_format="csv"
     ).awaitTermination()
-    assert tables.read_base(spark, f"{root}/base").count() == 2
+    base = tables.read_base(spark, f"{root}/base").collect()
+    assert sorted((r.lead_id, r.campaign) for r in base) == [("L0130", None), ("L0300", "fair")]
 
 
 def test_append_to_clean_keeps_the_columns(leads):

@@ -7,7 +7,7 @@ from leadloom.operators import identity, queue, shops
 from leadloom.plans.clean import classified_leads, prepared_leads
 from leadloom.sources.fixtures import AS_OF, raw_leads
 from leadloom.sources.tables import write_leads
-from leadloom.session import scratch_path
+from leadloom.session import cut_lineage, scratch_path
 from tests.conftest import FOLDER
 
 
@@ -37,12 +37,21 @@ def test_cleaning_has_no_shuffle(stored):
 
 
 def test_wide_rows_are_shuffled_once(stored, no_broadcast):
-    leads = prepared_leads(stored, AS_OF)
+    leads = cut_lineage(prepared_leads(stored.union(stored.limit(20)), AS_OF))
+    kept = identity.drop_duplicates(leads, identity.resolve_duplicates(leads))
+    kept.collect()
+    final = plan(kept).split("Initial Plan")[0]
+    # the leads, and two narrow tables of ids; the second join reads the leads' shuffle again
+    assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") == 3
+    assert "ReusedExchange" in final
+
+
+def test_most_wide_rows_are_neither_shuffled_nor_sorted(stored):
+    leads = cut_lineage(prepared_leads(stored, AS_OF))
     text = plan(identity.drop_duplicates(leads, identity.resolve_duplicates(leads)))
-    # once the leads, once the narrow table of dropped ids
-    assert text.count("Exchange hashpartitioning") == 2
-    # equal rows collapse before they travel
-    assert text.index("partial_first") > text.index("Exchange hashpartitioning")
+    # the first branch joins only; rows collapse in the second, above the join with the repeated ids
+    assert text.index("Union") < text.index("LeftAnti") < text.index("SortAggregate") < text.index("LeftSemi")
+    assert "BroadcastHashJoin" in text
 
 
 def test_first_row_of_a_key_is_combined_before_the_shuffle(stored):

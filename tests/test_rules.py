@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from leadloom import rules
 from leadloom.operators import classify, queue
-from leadloom.plans.clean import classified_leads
-from leadloom.schema import CLEAN_COLUMNS, RAW_COLUMNS
+from leadloom.plans.clean import classified_leads, clean_leads
+from leadloom.schema import CLEAN_COLUMNS
 
 AS_OF = date(2026, 6, 30)
 
@@ -179,8 +179,31 @@ def test_cleaning_twice_changes_nothing(spark, leads):
     from leadloom.sources.fixtures import raw_leads
 
     first = classified_leads(raw_leads(spark, "/root/testdata/sf0.001"), run_date)
-    again = classified_leads(first.select(*[F.col(c).cast("string") for c in RAW_COLUMNS]), run_date)
-    same = [c for c in CLEAN_COLUMNS if c not in ("stage_raw", "stage_overridden")]
-    difference = first.select(*same).exceptAll(again.select(*same))
-    changed = [r for r in difference.collect() if r.stage not in ("Hold", "Contacted", "New", "Replied")]
-    assert changed == []  # a second look may move a stage on, nothing else
+    again = classified_leads(first.select(*[F.col(c).cast("string") for c in CLEAN_COLUMNS]), run_date)
+    assert first.exceptAll(again).isEmpty() and again.exceptAll(first).isEmpty()
+
+
+def test_what_the_typed_text_said_survives_a_second_cleaning(leads):
+    rows = leads(
+        {"lead_id": "A", "handle": "@a", "followers": "tbc", "stage": "warm"},
+        {"lead_id": "B", "handle": "@b", "sales_velocity_30d": "0.0"},
+        {"lead_id": "C", "handle": "@c", "followers": "0"},
+    )
+    once = classified_leads(rows, AS_OF)
+    twice = classified_leads(once, AS_OF)
+    assert {r.lead_id: r.lead_type for r in twice.collect()} == {"A": "reseller", "B": "reseller", "C": "physical_shop"}
+    assert once.exceptAll(twice).isEmpty()
+
+
+def test_additional_columns_keep_their_names_and_values(leads):
+    own = {"_msg": "m", "reason": "r", "row_id": "i", "a.b`c": "odd", "_additional_": "x", "Overdue ": "y"}
+    rows = leads({"lead_id": "A", "handle": "@a"}).withColumns({name: F.lit(value) for name, value in own.items()})
+    for result in (classified_leads(rows, AS_OF), clean_leads(rows, AS_OF)):
+        assert result.columns == [*CLEAN_COLUMNS, *own]
+        assert list(result.first())[len(CLEAN_COLUMNS):] == list(own.values())
+
+
+def test_a_computed_column_of_the_input_is_computed_anew(leads):
+    rows = leads({"lead_id": "A", "handle": "@a"}).withColumns({"lead_type": F.lit("x"), "overdue": F.lit("x")})
+    first = classified_leads(rows, AS_OF).first()
+    assert (first.lead_type, first.overdue) == ("physical_shop", False)
