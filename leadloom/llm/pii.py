@@ -8,9 +8,12 @@ check digit, octets, context) and a label transition, and a dynamic program choo
 boundaries and types together.  What it finds outside the base spans is added; base
 spans always stay.
 
-``fit`` trains the field by its exact likelihood on a bounded sample of islands
-(``fit_documents``, ``fit_islands``) whose labels are the base spans and quoted
-hexadecimal secrets.  Everything else covers every text from end to end.
+``fit`` reads the islands of every text, each distinct one counting once however often it
+is copied, and trains the field by its exact likelihood on a bounded sample of them
+(``fit_islands``) whose labels are the base spans and quoted hexadecimal secrets.  Every
+combination of kinds that occurs has its places in the sample.  Islands of more than
+``longest_island`` characters are trained on in parts.  Everything else covers every text
+from end to end.
 
 Defined results: a null text counts as empty and has no span, and stays null when it is
 redacted; an empty table, or one without any labelled span, fits no model and only base
@@ -27,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -356,40 +359,77 @@ def _gradient(field: Field, grid: Lattice, ids: list, truth: list, grad_w: np.nd
 # ---------------------------------------------------------------- on tables
 
 
-def labelled_islands(text: str) -> Iterator[tuple[str, list[Span]]]:
-    """Islands with the base spans and quoted secrets in them, for training."""
+def labelled_islands(text: str, longest: int = 300) -> Iterator[tuple[str, list[Span]]]:
+    """Islands with the base spans and quoted secrets in them, for training, in parts of up to ``longest`` characters."""
     marks = base_spans(text) + [("secret", *m.span()) for m in _SECRET.finditer(text)]
     chosen: list[Span] = []
     for span in sorted(marks, key=lambda s: (s[1], -s[2])):
         if not chosen or span[1] >= chosen[-1][2]:
             chosen.append(span)
+    ahead = 0  # spans before this one end before the island
     for start, end in islands(text):
-        if end - start <= 300:
-            yield text[start:end], [(k, a - start, b - start) for k, a, b in chosen if start <= a and b <= end]
-
-
-def fit(docs: DataFrame, text: str = "text", fit_documents: int = 240, fit_islands: int = 240) -> Field | None:
-    """Train on islands of at most ``fit_documents`` documents, the first by hash that have a digit or ``@``."""
-    rows = (
-        docs.select(F.col(text).alias("text"))
-        .filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= 20_000))
-        .select("text", F.xxhash64("text").alias("place"))
-        .orderBy("place")
-        .limit(fit_documents)
-        .select("text")
-    )
+        while ahead < len(chosen) and chosen[ahead][2] <= start:
+            ahead += 1
+        own = []
+        for span in chosen[ahead:]:
+            if span[1] >= end:
+                break
+            own.append(span)
+        for first, last in _parts(text, start, end, own, longest):
+            yield text[first:last], [(k, a - first, b - first) for k, a, b in own if first <= a and b <= last]
+
+
+def _parts(text: str, start: int, end: int, spans: list[Span], longest: int) -> Iterator[tuple[int, int]]:
+    """The island, cut before white space outside spans where it is too long; stretches that cannot be cut are left out."""
+    if end - start <= longest:
+        yield start, end
+        return
+    inside = {i for _, a, b in spans for i in range(a + 1, b)}
+    cuts = [i for i in range(start + 1, end) if text[i] in _BREAK and i not in inside]
+    first = last = start
+    for cut in [*cuts, end]:
+        if cut - first > longest:
+            if first < last:
+                yield first, last
+            first = last
+        if cut - first > longest:  # one stretch alone is too long
+            first = cut
+        last = cut
+    if first < last:
+        yield first, last
+
+
+def fit(docs: DataFrame, text: str = "text", fit_islands: int = 240, longest_island: int = 300) -> Field | None:
+    """Train on ``fit_islands`` distinct islands of all documents.
+
+    Half of the places are dealt evenly to the combinations of kinds that occur, islands
+    without a span being one; the others go to the islands that come first by hash.
+    """
+    rows = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [(t, written(s)) for x in column_or(batch, "text") for t, s in labelled_islands(x)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())],
-                names=["island", "spans"],
-            )
-
-    chosen = rows.mapInArrow(run, "island string, spans string").distinct().orderBy("island", "spans").limit(fit_islands)
+        for batch in in_batches(batches, 1000):
+            found = {
+                (t, written(s), " ".join(sorted({k for k, _, _ in s})))
+                for x in column_or(batch, "text")
+                for t, s in labelled_islands(x, longest_island)
+            }
+            columns = [pa.array([p[i] for p in found], pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["island", "spans", "kinds"])
+
+    by_hash = Window.partitionBy("kinds").orderBy("hash", "island", "spans")
+    first = (
+        rows.mapInArrow(run, "island string, spans string, kinds string")
+        .distinct()
+        .withColumn("hash", F.xxhash64("island", "spans"))
+        .withColumn("place", F.row_number().over(by_hash))
+        .filter(F.col("place") <= fit_islands)
+    )
+    found = sorted(first.collect(), key=lambda r: (r.hash, r.island, r.spans))  # fit_islands short strings for each combination
+    each = max(1, fit_islands // (2 * max(1, len({r.kinds for r in found}))))
+    found.sort(key=lambda r: r.place > each)
     examples = []
-    for row in chosen.collect():  # at most fit_islands short strings
+    for row in found[:fit_islands]:
         marks = [s.split(":") for s in row.spans.split(",") if s]
         examples.append((row.island, [(k, int(a), int(b)) for k, a, b in marks]))
     return train(examples)

@@ -184,6 +184,27 @@ def test_personal_data(spark, odd_docs, no_docs):
     assert pii.find(odd_docs, None).count() == odd_docs.count()
 
 
+def test_copies_and_order_leave_the_field_its_kinds(spark):
+    secrets = [hashlib.sha1(bytes([i])).hexdigest() for i in range(12)]
+    rows = [(k, f"{i} items were sold") for i in range(40) for k in range(300)]
+    rows += [(0, f'in the code token = "{s}" is set') for s in secrets]
+    rows.append((0, "1 2 3 4 5 6 7 8 9 " * 1_500 + f'token = "{secrets[0]}" behind a long island'))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    field = pii.fit(docs)
+    assert field is not None
+    odd = docs.filter("text like '%token%' and length(text) < 100")
+    assert all(r["spans"].startswith("secret:") for r in pii.find(odd, field, redact=False).collect())
+    once = pii.fit(docs.dropDuplicates(["text"]))
+    assert once.index == field.index and np.array_equal(once.weights, field.weights)
+
+
+def test_long_islands_are_trained_on_in_parts():
+    text = "1 2 3 4 " * 200 + "5555 " * 3 + "4845 1681 1440 7329 and so on 10.0.0.1 " + "9" * 400 + " 10.0.0.2"
+    parts = list(pii.labelled_islands(text))
+    assert all(len(t) <= 300 for t, _ in parts) and sum(len(t) for t, _ in parts) >= len(text) - 410
+    assert {t[a:b] for t, spans in parts for _, a, b in spans} >= {"10.0.0.1", "10.0.0.2"}
+
+
 # ---------------------------------------------------------------- op6
 
 
