@@ -8,7 +8,10 @@ rows; an empty table gives an empty table; columns other than the named ones pas
 through ``encode`` and ``decode`` untouched (a column named like an added one is
 replaced).  Texts of any length are encoded whole: they are cut only in front of white
 space that follows a character that is not white space, where every match of the split
-pattern ends, so the pieces' ids joined are the ids of the text.
+pattern ends, so the pieces' ids joined are the ids of the text.  A run of white space of
+``RUN_CHARS`` or more is one match, without its last character where text follows (that
+belongs to the next match); it is merged without the pattern, whose stack it could exhaust.
+The split pattern must treat white space like that, as those of GPT-2 and its kin do.
 """
 
 from __future__ import annotations
@@ -28,6 +31,10 @@ from leadloom.llm.common import column_or, in_batches
 
 #: Texts are encoded in pieces of about this many characters.
 PIECE_CHARS = 65_536
+#: Runs of white space of this length are not given to the pattern.
+RUN_CHARS = 4_096
+#: White space as the tokenizer's patterns know it; ``\\s`` of ``re`` has four more.
+_WHITE_RUN = re.compile(r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN_CHARS)
 _SAFE_CUT = re.compile(r"(?<=[A-Za-z0-9.,;:!?])(?=[ \n])")
 
 
@@ -54,10 +61,17 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
 
 
 def token_ids(text: str, enc) -> list[int]:
+    """The ids of the whole text; it starts where a match starts."""
     if len(text) <= PIECE_CHARS:
         return enc.encode_ordinary(text)
     ids: list[int] = []
-    for piece in pieces(text):
+    start = 0
+    for run in _WHITE_RUN.finditer(text):
+        for piece in pieces(text[start : run.start()]):
+            ids += enc.encode_ordinary(piece)
+        start = run.end() - (run.end() < len(text))
+        ids += enc._core_bpe.encode_single_piece(text[run.start() : start].encode())
+    for piece in pieces(text[start:]):
         ids += enc.encode_ordinary(piece)
     return ids
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadloom.llm.bpe import encoding
+from leadloom.llm.bpe import encoding, token_ids
 from leadloom.llm.common import in_batches
 
 EDIT = "struct<start: bigint, stop: bigint, insert: string>"
@@ -49,7 +49,7 @@ class TokenCounts(dict):
     def __missing__(self, piece: str) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        count = len(self.encoding.encode_ordinary(piece))
+        count = len(token_ids(piece, self.encoding))
         if len(piece) <= 64:
             self[piece] = count
         return count

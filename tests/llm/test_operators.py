@@ -234,6 +234,33 @@ def test_pieces_are_cut_safely():
         assert [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
 
 
+def test_long_white_space_is_encoded_like_the_pattern():
+    enc = bpe.encoding(ranks(), PATTERN)
+    for run in (" " * 70_000, "\n" * 70_000, " \n\t" * 30_000, "\u3000" * 70_000, " " * 70_000 + "\n", "\x1c" * 70_000):
+        for text in (run, run + "a", "a" + run, f"a{run}a b{run}.", f"1 {run}\x1c{run}'s", "é" + run + "\n!"):
+            assert bpe.token_ids(text, enc) == enc.encode_ordinary(text)
+
+
+def test_two_million_white_spaces(spark):
+    split = regex.compile(PATTERN)
+    enc, counts = bpe.encoding(ranks(), PATTERN), edits.TokenCounts(ranks(), PATTERN)
+    texts = [" " * 2_000_000, " " * 2_000_000 + "end", "a\n" + "\n" * 2_000_000 + " b"]
+    for text in texts:
+        plain = [i for p in split.findall(text) for i in enc._core_bpe.encode_single_piece(p.encode())]
+        assert bpe.token_ids(text, enc) == plain
+        tree = edits.Tree.of(text, counts, split)
+        assert tree.total == len(plain)
+        tree.edit(1_000_000, 1_000_001, "x")
+        changed = text[:1_000_000] + "x" + text[1_000_001:]
+        assert tree.text() == changed and tree.total == len(bpe.token_ids(changed, enc))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    rows = bpe.round_trip(docs, ranks(), PATTERN).collect()
+    assert len(rows) == 3 and all(r["exact"] for r in rows)
+    changed = docs.withColumn("edits", edits.sample_edits(F.col("doc_id"), F.col("text")))
+    rows = edits.count(changed, ranks(), PATTERN, keep_text=True).collect()
+    assert [r["tokens_after"] for r in rows] == [len(bpe.token_ids(r["edited"], enc)) for r in rows]
+
+
 # ---------------------------------------------------------------- op7
 
 
