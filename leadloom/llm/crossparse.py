@@ -6,12 +6,15 @@ the automaton knows; every phrase costs a pointer into the labelled text, so
 
     bits per character = phrases * log2(labelled length) / characters,
 
-and the language with the fewest bits wins.  Automata are tables of numbers, and many
+(a pointer costs no less than naming one of all letters, or a language of which little
+text is known would have the cheapest phrases) and the language with the fewest bits wins.  Automata are tables of numbers, and many
 stretches of text are parsed in step, one table look-up per character and language.
 
-``learn`` reads a bounded sample of labelled rows: per language the first
-``documents_per_language`` by hash among those of 100 to ``longest`` characters, whole
-documents as long as they stay below ``characters``.  Predictions read every whole text.
+``learn`` reads a bounded sample of labelled rows: of each language the first
+``documents_per_language`` distinct texts by hash, as long as they stay below ``characters``
+together.  Texts of 100 to ``longest`` characters come first; where a language has too few,
+longer ones (their first ``longest`` characters from the first letter on) and shorter ones fill its places.
+So every language with a labelled letter is learnt.  Predictions read every whole text.
 A phrase ends at the end of a stretch of ``STRETCH`` characters, in all languages alike.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter, or nothing
@@ -48,16 +51,27 @@ def learn(
     docs: DataFrame, documents_per_language: int = 64, longest: int = 4_000, characters: int = 60_000
 ) -> Sample:
     """A bounded sample of labelled text; ``docs`` has text and lang."""
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    rows = (
-        docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-        .filter(F.col("lang").isNotNull() & F.length("text").between(100, longest))
+    reach = min(longest, characters)
+    own, length = F.col("text"), F.length("text")
+    stretch = F.when(length > reach, F.substring(F.regexp_replace(own, r"^\P{L}++", ""), 1, reach)).otherwise(own)
+    texts_of = (
+        docs.select(own.cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+        .filter(F.col("lang").isNotNull() & own.rlike(r"\p{L}"))
+        .select("lang", stretch.alias("text"), (~length.between(100, longest)).alias("late"))
+        .withColumn("hash", F.xxhash64("text"))
+    )
+    place = Window.partitionBy("lang").orderBy("late", "hash")
+    chosen = (
+        texts_of.groupBy("lang", "hash")
+        .agg(F.min("late").alias("late"))
         .withColumn("place", F.row_number().over(place))
         .filter(F.col("place") <= documents_per_language)
-        .orderBy("lang", "place")
+        .select("lang", "hash", "place")
     )
+    rows = texts_of.select("lang", "hash", "text").join(F.broadcast(chosen), ["lang", "hash"]).distinct()
     texts: dict[str, str] = {}
-    for row in rows.collect():  # documents_per_language short texts for each language
+    # documents_per_language short texts for each language
+    for row in sorted(rows.collect(), key=lambda r: (r["lang"], r["place"], r["text"])):
         if len(texts.get(row["lang"], "")) + len(row["text"]) <= characters:
             texts[row["lang"]] = f"{texts.get(row['lang'], '')} {row['text']}"
     return tuple(sorted(texts.items()))
@@ -115,7 +129,7 @@ class Parser:
             rows = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
             table[rows, [c for m in moves for c in m]] = np.array([to for m in moves for to in m.values()], np.int32) * 2
             self.tables.append(np.ascontiguousarray(table).ravel())
-            self.pointer_bits.append(float(np.log2(len(codes) + 1)))
+            self.pointer_bits.append(float(np.log2(max(len(codes) + 1, self.width))))
 
     def code_of(self, c: str) -> int:
         return self.codes.get(c, OTHER if c.isalpha() else GAP)

@@ -386,6 +386,29 @@ def test_language(spark, odd_docs, no_docs):
     assert crossparse.learn(no_docs) == ()
 
 
+def test_copies_do_not_crowd_out_a_language(spark):
+    rows = [(f"{words(i, 40)} {i}", "xx") for i in range(60) for _ in range(64)] + [(words(99, 40), "yy")]
+    sample = dict(crossparse.learn(spark.createDataFrame(rows, "text string, lang string")))
+    assert all(f"{words(i, 40)} {i}" in sample["xx"] for i in range(60))
+    assert sample["xx"].count(words(0, 40)) == 1 and set(sample) == {"xx", "yy"}
+
+
+def test_short_and_long_labelled_texts_are_learnt(spark):
+    draw = random.Random(3)
+    own = {lang: [a + b for a in letters for b in letters] for lang, letters in (("mid", "abcd"), ("short", "efgh"), ("long", "ijkl"))}
+
+    def text(lang, count):
+        return " ".join(draw.choice(own[lang]) + draw.choice(own[lang]) for _ in range(count))
+
+    rows = [(text("mid", 60), "mid") for _ in range(70)] + [(text("short", 4), "short") for _ in range(5)]
+    rows += [("1 " * 3_000 + text("long", 3_000), "long") for _ in range(3)] + [("12", "none"), (None, "none"), ("a" * 200, None)]
+    sample = crossparse.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert [name for name, _ in sample] == ["long", "mid", "short"]
+    assert all(len(known) <= 60_000 for _, known in sample)
+    want = ["short", "mid", "long"] * 20
+    assert crossparse.Parser(sample).predict([text(lang, 30) for lang in want])[0] == want
+
+
 def test_parser_counts_longest_phrases():
     sample = (("x", "abracadabra banana"), ("y", "zebra cadence"))
     parser = crossparse.Parser(sample)
