@@ -7,8 +7,10 @@ the automaton knows; every phrase costs a pointer into the labelled text, so
     bits per character = phrases * log2(labelled length) / characters,
 
 (a pointer costs no less than naming one of all letters, or a language of which little
-text is known would have the cheapest phrases) and the language with the fewest bits wins.  Automata are tables of numbers, and many
-stretches of text are parsed in step, one table look-up per character and language.
+text is known would have the cheapest phrases) and the language with the fewest bits wins.  Every letter of any language's sample has a code of its own; a letter of none begins a
+phrase everywhere.  Automata are tables of numbers with a column for each letter of their
+language, or sorted lists of transitions where it has more than ``WIDE`` letters, and many
+stretches of text are parsed in step, one look-up per character and language.
 
 ``learn`` reads a bounded sample of labelled rows: of each language the first
 ``documents_per_language`` distinct texts by hash, as long as they stay below ``characters``
@@ -25,7 +27,6 @@ winner when every language weighs 2 to the power of minus ``SHARPNESS`` times it
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,8 +41,9 @@ from leadloom.llm.common import in_batches
 UNDETERMINED = "und"
 STRETCH = 1024
 SHARPNESS = 8.0
-LETTERS = 62
+WIDE = 128
 GAP, OTHER = 0, 1
+CODE_POINTS = 0x110000
 
 #: Labelled text by language, in the order of names.
 Sample = tuple[tuple[str, str], ...]
@@ -108,38 +110,63 @@ def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
     return moves
 
 
+class Automaton:
+    """Moves by state and letter: twice the next state, plus one where a phrase begins."""
+
+    def __init__(self, codes: np.ndarray, letters: int):
+        own = np.unique(codes)
+        #: Place of each code among the language's own, 0 for letters that it does not have.
+        self.place = np.zeros(letters, np.min_scalar_type(len(own) + 1))
+        self.place[own] = np.arange(1, len(own) + 1)
+        self.width = len(own) + 1
+        moves = suffix_automaton(self.place[codes])
+        self.start = np.ones(self.width, np.int32)
+        for place, to in moves[0].items():
+            self.start[place] = to * 2 + 1
+        rows = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
+        keys = rows * self.width + np.array([p for m in moves for p in m], np.int64)
+        values = np.array([to for m in moves for to in m.values()], np.int32) * 2
+        if self.width <= WIDE:
+            self.keys, self.values = None, np.tile(self.start, (len(moves), 1)).ravel()
+            self.values[keys] = values
+        else:
+            order = np.argsort(keys)
+            self.keys, self.values = keys[order], values[order]
+
+    def move(self, state: np.ndarray, place: np.ndarray) -> np.ndarray:
+        wanted = state * self.width + place
+        if self.keys is None:
+            return self.values.take(wanted)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.values[at], self.start[place])
+
+
+@lru_cache(maxsize=1)
+def letter_points() -> np.ndarray:
+    """The code points that are letters."""
+    return np.array([c for c in range(CODE_POINTS) if chr(c).isalpha()])
+
+
 class Parser:
-    """Automata of all languages as tables: twice the next state, plus one where a phrase begins."""
+    """The automata of all languages."""
 
     def __init__(self, sample: Sample):
-        counts = Counter(c for _, text in sample for c in text.lower() if c.isalpha())
-        known = sorted(counts, key=lambda c: (-counts[c], c))[:LETTERS]
-        self.codes = {c: i + 2 for i, c in enumerate(known)}
+        known = sorted({c for _, text in sample for c in text.lower() if c.isalpha()})
         self.width = len(known) + 2
-        self.plane = np.array([self.code_of(chr(c)) for c in range(0x3000)], np.uint8)
+        self.plane = np.full(CODE_POINTS, GAP, np.min_scalar_type(self.width))
+        self.plane[letter_points()] = OTHER
+        self.plane[[ord(c) for c in known]] = np.arange(2, self.width)
         self.names = [name for name, _ in sample]
         self.tables, self.pointer_bits = [], []
         for _, text in sample:
             codes = self.encode(text)
-            moves = suffix_automaton(codes)
-            start = np.zeros(self.width, np.int32)
-            for code, to in moves[0].items():
-                start[code] = to
-            table = np.tile(start * 2 + 1, (len(moves), 1))
-            rows = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
-            table[rows, [c for m in moves for c in m]] = np.array([to for m in moves for to in m.values()], np.int32) * 2
-            self.tables.append(np.ascontiguousarray(table).ravel())
+            self.tables.append(Automaton(codes, self.width))
             self.pointer_bits.append(float(np.log2(max(len(codes) + 1, self.width))))
 
-    def code_of(self, c: str) -> int:
-        return self.codes.get(c, OTHER if c.isalpha() else GAP)
-
     def encode(self, text: str) -> np.ndarray:
         """Letters as small numbers; whatever is between letters is one gap."""
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = self.plane[np.minimum(points, len(self.plane) - 1)]
-        for at in np.nonzero(points >= len(self.plane))[0].tolist():
-            codes[at] = self.code_of(chr(points[at]))
+        codes = self.plane[points]
         gap = codes == GAP
         return codes[~(gap & np.concatenate(([True], gap[:-1])))] if len(codes) else codes
 
@@ -152,16 +179,17 @@ class Parser:
             lanes = pieces[first : first + 8192]
             owner = np.array([i for i, _ in lanes])
             lengths = np.array([len(p) for _, p in lanes])
-            grid = np.zeros((int(lengths[0]), len(lanes)), np.uint8)
+            grid = np.zeros((int(lengths[0]), len(lanes)), self.plane.dtype)
             for k, (_, piece) in enumerate(lanes):
                 grid[: len(piece), k] = piece
             alive = np.searchsorted(-lengths, -np.arange(len(grid)), side="left")
             for column, table in enumerate(self.tables):
+                places = table.place[grid]
                 state = np.zeros(len(lanes), np.int64)
                 count = np.ones(len(lanes), np.int64)
-                for step, row in enumerate(grid):
+                for step, row in enumerate(places):
                     n = alive[step]
-                    move = table.take(state[:n] * self.width + row[:n])
+                    move = table.move(state[:n], row[:n])
                     count[:n] += move & 1
                     state[:n] = move >> 1
                 np.add.at(out[:, column], owner, count)

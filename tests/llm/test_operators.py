@@ -432,6 +432,25 @@ def test_parser_counts_longest_phrases():
                 assert count == phrases
 
 
+@pytest.mark.parametrize("wide", [128, 4])
+def test_every_letter_of_many_scripts_counts(monkeypatch, wide):
+    """Latin, Cyrillic, Greek and two languages of many letters; also with sorted lists for all."""
+    monkeypatch.setattr(crossparse, "WIDE", wide)
+    draw = random.Random(8)
+    scripts = {"el": (0x3B1, 24), "ja": (0x4E00, 600), "la": (0x61, 26), "rare": (0x10400 + 40, 40), "ru": (0x430, 32), "zh": (0x5800, 600)}
+    own = {n: ["".join(chr(a + draw.randrange(k)) for _ in range(4)) for _ in range(300)] for n, (a, k) in scripts.items()}
+
+    def text(name, count):
+        return " ".join(draw.choice(own[name]) for _ in range(count))
+
+    parser = crossparse.Parser(tuple((n, text(n, 200 if n == "rare" else 2_000)) for n in sorted(scripts)))
+    want = sorted(scripts) * 5
+    assert parser.predict([text(n, 20) for n in want])[0] == want
+    single = crossparse.Parser((("zh", "".join(own["zh"])),))
+    assert single.phrases([single.encode(own["zh"][7])]).tolist() == [[1]]
+    assert single.phrases([single.encode("abc")]).tolist()[0][0] >= 3
+
+
 # ---------------------------------------------------------------- op10
 
 
