@@ -110,6 +110,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     distinct = cut_lineage(
         rows.select("id", "code")
         .filter(F.col("id").isNotNull() & F.col("code").isNotNull())
+        .distinct()
         .withColumn("place", F.row_number().over(by_id))
         .filter(F.col("place") <= k)  # equal codes: no more than k ids can be among k results
         .groupBy("code")

@@ -46,6 +46,12 @@ def test_search_equals_brute_force(spark):
     assert hamming.search(rows.filter("false"), rows, 3).count() == 0
 
 
+def test_repeated_rows_take_one_place(spark):
+    rows = spark.createDataFrame([(1, 0)] * 6 + [(2, 0), (3, 1), (3, 1), (4, 3)], "id bigint, code bigint")
+    got = [tuple(r) for r in hamming.search(rows, rows.filter("id = 1"), k=3).select("neighbour_id", "distance", "rank").collect()]
+    assert sorted(got) == [(1, 0, 1), (2, 0, 2), (3, 1, 3)]
+
+
 # ---------------------------------------------------------------- op2
 
 
