@@ -1,18 +1,20 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by an exact prefix filter, which stands in for a size-partitioned MinHash search.
 
-Items and documents are sets of distinct word shingles.  Items are partitioned by size,
-and each gets a MinHash sketch: the shingles with its smallest hashes, as many as the
-containment threshold allows to be missing, plus one.  A document that holds enough of an
-item must therefore hold one shingle of the sketch, however long the document is, so the
-search misses nothing.  Document shingles stream past the sketches of the size partitions
-that fit into the document; only documents with a hit are read again, where containment
-is counted exactly on the shingles themselves.  Only DataFrame functions are used.
+Items and documents are sets of distinct word shingles.  Of each item the shingles with its
+smallest hashes are indexed, as many as the containment threshold allows to be missing, plus
+one.  A document that holds enough of an item must therefore hold one of these, however long
+the document is, so the search misses nothing.  All document shingles meet the index of all
+items in one join; the size classes of items do not steer it, since the filter on them
+follows from the one on the number of places.  Only documents with a hit are read again,
+where containment is counted exactly on the shingles themselves.  Only DataFrame functions
+are used.
 
 Spark joins the sketches by broadcast when the written sketch table is below its
 broadcast threshold and by a shuffle beyond it.
 
 Defined results: words are lower-cased and divided by space, tab and line ends; a text of
-fewer than ``size`` words is one shingle; null and empty texts have none and neither
+fewer than ``size`` words is one shingle, so such an item is found only where it is the
+whole document, never as a passage of a longer one; null and empty texts have none and neither
 contain nor are contained; repeated rows count once per id; an empty table on either side
 gives an empty table; rows without an id are no document or item; other columns play no
 part.
@@ -94,7 +96,7 @@ def contained(
     """
     shingles = cut_lineage(item_shingles(items, item_key, item_text, size))
     index = cut_lineage(sketches(shingles, threshold).distinct())
-    # Search: the sketch partitions whose items can be inside a document of this size.
+    # Search: the items that can be inside a document of this size.
     hits = (
         _shingle_rows(docs, key, text, size)
         .select(F.col("key").alias("doc"), "n_places", F.xxhash64(*_at(size)).alias("code"))
