@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bpe, chat, contamination, crossparse, edits, hamming, jaccard, kdtree, pii, quality
+from leadloom.llm import (
+    bpe,
+    chat,
+    contamination,
+    crossparse,
+    edits,
+    hamming,
+    importance,
+    interactions,
+    jaccard,
+    kdtree,
+    pii,
+    quality,
+    warc,
+)
 from leadloom.llm.common import fold, table
+from leadloom.session import scratch_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -86,6 +101,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from the documents of each language in all 120 orders."""
+    marks = {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    counts = interactions.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), marks)
+    return interactions.audit(counts, "".join(interactions.TEXT_FILTERS) + interactions.REPEATED, list(marks))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much their words are those of the benchmark."""
+    return importance.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through an archive and one without repeated payloads, and back."""
+    root = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), f"{root}/captured")
+    warc.deduplicate(spark, f"{root}/captured", f"{root}/deduplicated")
+    return warc.resolve(spark, f"{root}/deduplicated").drop("uri")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,6 +134,9 @@ QUERIES = {
         op8_ngram_jaccard_join,
         op9_language,
         op10_quality,
+        op11_filter_interactions,
+        op12_importance_resampling,
+        op13_warc_revisits,
     )
 }
 
@@ -106,4 +144,7 @@ ORACLES = {
     "op1_hamming_top_k": hamming.ORACLE,
     "op3_benchmark_contamination": contamination.ORACLE,
     "op7_perspective_rotation": chat.ORACLE,
+    "op11_filter_interactions": interactions.ORACLE,
+    "op12_importance_resampling": importance.ORACLE,
+    "op13_warc_revisits": warc.ORACLE,
 }
