@@ -1,10 +1,12 @@
 import random
 from datetime import date, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from leadloom.operators import identity
+from leadloom.operators.components import components
 from leadloom.plans.clean import prepared_leads
 
 AS_OF = date(2026, 1, 1)
@@ -76,14 +78,64 @@ def test_long_chain_in_one_block(leads):
     rows = chain(300)
     got, result = kept_ids(leads(*rows))
     assert got == walk(rows)
-    assert result.rounds == 2
+    assert result.rounds == 1
 
 
-def test_chain_over_several_blocks_takes_a_round_for_each(leads):
-    rows = chain(40)
+@pytest.mark.parametrize(("seed", "n", "values"), [(4, 300, 150), (5, 200, 30), (6, 400, 600)])
+def test_blocks_of_any_size_equal_the_walk(leads, seed, n, values):
+    rows = random_rows(seed, n, values)
+    for block_rows in (7, 60):
+        assert kept_ids(leads(*rows), block_rows=block_rows)[0] == walk(rows)
+
+
+def test_chain_over_a_hundred_blocks_takes_few_rounds(leads):
+    rows = chain(1000)
     got, result = kept_ids(leads(*rows), block_rows=10)
     assert got == walk(rows)
-    assert result.rounds <= 5
+    assert result.rounds <= 10
+
+
+def ladder(length):
+    """Row i shares keys with i - 1, i - 2 and i - 3: three rows to a key, so rows hang on several others."""
+    return [
+        {
+            "lead_id": f"L{i:05d}",
+            "last_touch_date": str(AS_OF - timedelta(days=i)),
+            "handle": f"seller{i // 3}",
+            "email": f"u{(i + 1) // 3}@mail.com",
+            "phone": f"0700{(i + 2) // 3:07d}",
+        }
+        for i in range(length)
+    ]
+
+
+def test_rows_that_hang_on_several_others(leads):
+    rows = ladder(90)
+    assert kept_ids(leads(*rows), block_rows=10)[0] == walk(rows)
+
+
+def test_symbolic_walk_equals_the_rule_for_every_outcome_before():
+    """Whatever the rows before the block turn out to be, what hangs on them agrees with a plain walk."""
+    rng = random.Random(11)
+    for _ in range(300):
+        outside = {f"o{i}": i for i in range(3)}  # key to the place of its only earlier row
+        several = {"m0"}
+        rows = [(10 + i, rng.sample([*outside, *several, "a", "b", "c", "d"], rng.randrange(1, 4))) for i in range(8)]
+        links = pd.DataFrame(
+            [(p, k, outside[k] if k in outside else -1 if k in several else None) for p, keys in rows for k in keys],
+            columns=["place", "key", "before"],
+        )
+        found = identity._walk(links).set_index("place")
+        for truth in range(16):
+            kept = {i: bool(truth >> i & 1) for i in range(3)}
+            taken = {k for k, p in outside.items() if kept[p]} | ({"m0"} if truth >> 3 else set())
+            for place, keys in rows:
+                kept[place] = taken.isdisjoint(keys)
+                if kept[place]:
+                    taken.update(keys)
+                row = found.loc[place]
+                if row["target"] != place or not pd.isna(row["verdict"]):
+                    assert kept[place] == (row["verdict"] if not pd.isna(row["verdict"]) else kept[row["target"]] != row["odd"])
 
 
 def test_dropped_rows_do_not_pass_their_keys_on(leads):
@@ -139,7 +191,6 @@ def test_nothing_to_do(leads):
 def test_components_of_a_shuffled_chain(spark):
     order = list(range(24))
     random.Random(5).shuffle(order)
-    rows = [(f"r{order[i]:03d}", [f"k{i}", f"k{i + 1}"]) for i in range(24)] + [("z", ["other"])]
-    frame = spark.createDataFrame(rows, "row_id string, keys array<string>")
-    found = identity.connected_components(frame).groupBy("component").agg(F.count("*").alias("n")).collect()
-    assert sorted(r.n for r in found) == [1, 24]
+    links = spark.createDataFrame([(f"r{order[i]:03d}", f"r{order[i + 1]:03d}") for i in range(23)] + [("z", "z2")], "a string, b string")
+    found = components(links).groupBy("root").agg(F.count("*").alias("n")).collect()
+    assert sorted((r.root, r.n) for r in found) == [("r000", 24), ("z", 2)]

@@ -56,7 +56,7 @@ def test_most_wide_rows_are_neither_shuffled_nor_sorted(stored):
 
 def test_first_row_of_a_key_is_combined_before_the_shuffle(stored):
     rows = identity.key_rows(prepared_leads(stored, AS_OF))
-    members = rows.select(F.explode("keys").alias("key"), F.lit(0).alias("block"))
+    members = rows.select(F.explode("keys").alias("key"), F.lit(0).alias("block"), F.lit(0).alias("place"))
     text = plan(identity._spans(members))
     assert "partial_min" in text and "Window" not in text
 
