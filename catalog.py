@@ -8,6 +8,7 @@ session to the shared folder and read back by the later steps, as in daily use.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,12 @@ from pyspark.sql import functions as F
 
 from leadloom import rules
 from leadloom.functions import keys, text
-from leadloom.operators import batch, city, classify, drafts, geo, identity, normalise, queue, report, shops
+from leadloom.operators import batch, city, classify, drafts, geo, identity, incremental, normalise, queue, report, shops
 from leadloom.operators.ranking import with_position
 from leadloom.plans import clean as clean_plan
 from leadloom.schema import RAW_COLUMNS, SHOP_COLUMNS
-from leadloom.session import scratch_path
-from leadloom.sources import fixtures, tables
+from leadloom.session import cut_lineage, scratch_path
+from leadloom.sources import fixtures, key_index, tables
 from leadloom.streaming.ingest import ingest_stream, load_batch
 from oracles import tables as sql
 from oracles.tables import query
@@ -114,6 +115,48 @@ def overwrite_output(spark, folder):
     return spark.read.parquet(path)
 
 
+DIVIDED_LINES = query(
+    "SELECT 'lead' AS read_as, lead_id, handle, contact_name, city, NULL::VARCHAR AS line FROM raw_leads "
+    "WHERE lead_id IS NULL OR right(lead_id, 1) <> '7' "
+    "UNION ALL SELECT 'line', NULL, NULL, NULL, NULL, lead_id || ',h,c,Rome,' || lead_id FROM raw_leads WHERE right(lead_id, 1) = '7'",
+    "raw_leads",
+)
+
+
+@entry("quarantined_lines", DIVIDED_LINES)
+def quarantined_lines(spark, folder):
+    """Every lead whose id ends in 7 is written with a field too many: it is kept aside as it was typed."""
+    path = scratch_path(spark, "lines")
+    leads = raw(spark, folder).select("lead_id", "handle", "contact_name", "city")
+    odd = F.coalesce(F.col("lead_id").endswith("7"), F.lit(False))
+    tables.write_leads(leads.where(~odd).coalesce(4), f"{path}/in/whole", "csv")
+    lines = leads.where(odd).select(F.concat("lead_id", F.lit(",h,c,Rome,"), "lead_id").alias("value"))
+    header = spark.createDataFrame([("lead_id,handle,contact_name,city",)], "value string")
+    header.unionByName(lines).coalesce(1).write.text(f"{path}/in/odd")
+    found = tables.read_leads_csv(spark, f"{path}/in/*", quarantine_path=f"{path}/aside")
+    return found.select(F.lit("lead").alias("read_as"), "lead_id", "handle", "contact_name", "city", F.lit(None).cast("string").alias("line")).unionByName(
+        spark.read.parquet(f"{path}/aside").select(F.lit("line").alias("read_as"), "line"), allowMissingColumns=True
+    )
+
+
+@entry(
+    "dated_outputs",
+    query(
+        f"SELECT DATE '2026-06-29' AS run_date, lead_id, handle FROM raw_leads "
+        "UNION ALL SELECT DATE '2026-06-30', lead_id, handle FROM day2_batch",
+        "raw_leads", "day2_batch",
+    ),
+)
+def dated_outputs(spark, folder):
+    """Two days of one output; the second is written twice, with other rows first."""
+    path = scratch_path(spark, "dated")
+    days = (("2026-06-29", raw), ("2026-06-30", raw), ("2026-06-30", fixtures.day2_batch))
+    for day, rows in days:
+        tables.write_dated(rows(spark, folder).select("lead_id", "handle"), path, date.fromisoformat(day))
+    schema = raw(spark, folder).select("lead_id", "handle").schema
+    return tables.read_dated(spark, path, schema).where(F.col("run_date") >= "2026-06-01")
+
+
 APPENDED = query(
     f"SELECT 'first_load' AS batch_id, {sql.CLEAN_COLUMNS}, NULL::VARCHAR AS personalisation_signals FROM clean "
     f"UNION ALL SELECT 'day2', {sql.CLEAN_COLUMNS}, personalisation_signals FROM fresh_clean",
@@ -131,6 +174,19 @@ def append_to_base(spark, folder):
     return tables.read_base(spark, base)
 
 
+@entry("compacted_base", APPENDED)
+def compacted_base(spark, folder):
+    """Small batches are gathered; one is loaded again with other rows first, and gathered again."""
+    base = scratch_path(spark, "base")
+    tables.append_to_base(clean(spark, folder), base, tables.FIRST_LOAD)
+    new = fresh(spark, folder)
+    tables.append_to_base(new.limit(0), base, "day2")
+    tables.compact_base(spark, base)
+    tables.append_to_base(new.limit(7), base, "day2")
+    tables.compact_base(spark, base)
+    tables.append_to_base(new, base, "day2")
+    return tables.read_base(spark, base)
+
 
 # --- Scalar normalisation ----------------------------------------------------
 
@@ -999,6 +1055,66 @@ def drop_duplicates_chain(spark, folder):
     return identity.drop_duplicates(leads, identity.resolve_duplicates(leads, block_rows=500)).select("lead_id")
 
 
+@entry("key_index_batch", query(REJECTED, "checked"))
+def key_index_batch(spark, folder):
+    """The batch check of a load that reads stored keys only, after an earlier attempt of the same batch."""
+    root = scratch_path(spark, "indexed")
+    tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
+    for _ in range(2):
+        load_batch(
+            fixtures.day2_batch(spark, folder), f"{root}/base", f"{root}/rejected", "day2", AS_OF, index_path=f"{root}/index"
+        )
+    return spark.read.parquet(tables.batch_path(f"{root}/rejected", "day2"))
+
+
+@entry("key_index", query(
+    f"SELECT '0:' || lead_id AS key, min(lead_id) AS lead_id, 'first_load' AS batch_id FROM clean GROUP BY ALL HAVING key IS NOT NULL "
+    f"UNION ALL SELECT '0:' || lead_id, min(lead_id), 'day2' FROM fresh_clean GROUP BY ALL HAVING '0:' || lead_id IS NOT NULL",
+    "clean", "fresh_clean",
+))
+def stored_keys(spark, folder):
+    """Lead ids in the index after a load, which adds the keys of its new leads."""
+    root = scratch_path(spark, "indexed")
+    tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
+    load_batch(fixtures.day2_batch(spark, folder), f"{root}/base", f"{root}/rejected", "day2", AS_OF, index_path=f"{root}/index")
+    return key_index.read_index(spark, f"{root}/index").where(F.col("key").startswith("0:"))
+
+
+@entry("load_counts", query(
+    "SELECT (SELECT count(*) FROM day2_batch) AS incoming, (SELECT count(*) FROM day2_batch) - count(*) AS rejected, "
+    "count(*) AS added, count(*) FILTER (lead_type = 'reseller') AS reseller, "
+    "count(*) FILTER (lead_type = 'reseller_with_email') AS reseller_with_email, "
+    "count(*) FILTER (lead_type = 'physical_shop') AS physical_shop, count(*) FILTER (lead_type = 'hybrid') AS hybrid, "
+    "count(*) FILTER (personalisation_signals <> '') AS with_signals FROM fresh_clean",
+    "fresh_clean", "day2_batch",
+))
+def load_counts(spark, folder):
+    """What a load says it did: counted while its tables were written, without reading them again."""
+    root = scratch_path(spark, "counted")
+    tables.append_to_base(clean(spark, folder), f"{root}/base", tables.FIRST_LOAD)
+    done = load_batch(fixtures.day2_batch(spark, folder), f"{root}/base", f"{root}/rejected", "day2", AS_OF)
+    row = {"incoming": done.incoming, "rejected": done.rejected, "added": done.added, **done.added_by_type, "with_signals": done.with_signals}
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{name} bigint" for name in row))
+
+
+KEPT = query("SELECT lead_id, handle, email, phone, store_name, city, last_touch_date FROM kept", "kept")
+
+
+@entry("incremental_duplicates", KEPT)
+def incremental_duplicates(spark, folder):
+    """Three loads that each hold leads of every age end where one run over all of them does."""
+    leads = cut_lineage(clean_plan.prepared_leads(raw(spark, folder), AS_OF))
+    state = scratch_path(spark, "state")
+    share = F.pmod(F.xxhash64("row_id"), F.lit(20))
+    for number, own in enumerate((share < 15, (share >= 15) & (share < 18), share >= 18)):
+        incremental.absorb(spark, state, leads.where(own), number, parts=16)
+        if number == 1:
+            incremental.compact(spark, state)
+    return identity.drop_duplicates(leads, incremental.resolution(spark, state)).select(
+        "lead_id", "handle", "email", "phone", "store_name", "city", "last_touch_date"
+    )
+
+
 @entry("load_batch_rejections", query(REJECTED, "checked"))
 def load_batch_rejections(spark, folder):
     root = scratch_path(spark, "load")
@@ -1014,6 +1130,19 @@ for _column in ("stage", "lead_type", "reply_type"):
         lambda spark, folder, c=_column: report.value_counts(clean(spark, folder), c),
         query(f"SELECT {_column}, count(*) AS leads FROM clean GROUP BY {_column}", "clean"),
     )
+ENTRIES["all_counts"] = (
+    lambda spark, folder: report.all_counts(clean(spark, folder)),
+    query(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS counted, {column} AS value, count(*) AS leads FROM clean {where} GROUP BY {column}"
+            for name, column, where in (
+                ("stage", "stage", ""), ("lead_type", "lead_type", ""), ("reply_type", "reply_type", ""),
+                ("reseller_reply", "reply_type", "WHERE lead_type <> 'physical_shop'"),
+            )
+        ),
+        "clean",
+    ),
+)
 ENTRIES["reseller_reply_counts"] = (
     lambda spark, folder: report.reseller_reply_counts(clean(spark, folder)),
     query(

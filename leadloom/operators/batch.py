@@ -15,7 +15,7 @@ from leadloom.operators.classify import classify_leads, note_hints
 from leadloom.operators.geo import repair_geography
 from leadloom.operators.identity import drop_duplicates, duplicate_reason, with_row_id
 from leadloom.operators.normalise import normalise_leads
-from leadloom.schema import CLEAN_COLUMNS, REJECTION_COLUMNS
+from leadloom.schema import CLEAN_COLUMNS, LEAD_TYPES, REJECTION_COLUMNS
 from leadloom.session import cut_lineage
 
 
@@ -28,22 +28,31 @@ def known_keys(existing: DataFrame) -> DataFrame:
     )
 
 
+def held_keys(existing: DataFrame) -> DataFrame:
+    """``key`` and ``lead_id``: one row for every identity key of every existing lead."""
+    return existing.select("lead_id", F.explode(identity_keys(clean=True)).alias("key"))
+
+
 def check_batch(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Incoming rows with ``reason`` and ``matched_lead_id``; both null for new leads.
 
-    The existing leads are cut down to keys that occur in the batch before they
+    All existing leads are read; see ``check_keys`` and ``leadloom.sources.key_index``
+    for a check that does not.
+    """
+    return check_keys(incoming, held_keys(existing))
+
+
+def check_keys(incoming: DataFrame, held: DataFrame) -> DataFrame:
+    """``check_batch`` against ``held`` keys (``key``, ``lead_id``), several rows for a key allowed.
+
+    The held keys are cut down to those that occur in the batch before they
     are grouped, so a small batch is broadcast to the large table and not the
     other way round.  Rows of the batch are not compared with each other.
     """
     rows = with_row_id(pack(incoming))
     keys = rows.select("row_id", F.explode(identity_keys()).alias("key")).distinct()
     wanted = keys.select("key").distinct()
-    found = (
-        existing.select("lead_id", F.explode(identity_keys(clean=True)).alias("key"))
-        .join(wanted, "key", "left_semi")
-        .groupBy("key")
-        .agg(F.min("lead_id").alias("matched_lead_id"))
-    )
+    found = held.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("lead_id").alias("matched_lead_id"))
     # Keys begin with the number of their kind: the least key is the first check.
     hits = (
         keys.join(found, "key")
@@ -121,7 +130,7 @@ def load_summary(existing: DataFrame, incoming: DataFrame, new: DataFrame) -> Da
         F.count(F.lit(1)).alias("added"),
         *[
             F.count_if(F.col("lead_type") == kind).alias(kind)
-            for kind in ("reseller", "reseller_with_email", "physical_shop", "hybrid")
+            for kind in LEAD_TYPES
         ],
         F.count_if(F.col("personalisation_signals") != "").alias("with_signals"),
     )

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions import text
+from leadloom.functions.logic import first_match
 from leadloom.operators.queue import SHOP_TYPES
 from leadloom.operators.shops import money_sum
+from leadloom.schema import LEAD_TYPES
 
 
 def value_counts(leads: DataFrame, column: str) -> DataFrame:
@@ -19,6 +21,30 @@ def value_counts(leads: DataFrame, column: str) -> DataFrame:
     )
 
 
+#: What ``all_counts`` counts: its name, and the columns it groups by.
+COUNTED = {
+    "stage": ["stage"],
+    "lead_type": ["lead_type"],
+    "reply_type": ["reply_type"],
+    "reseller_reply": ["is_reseller", "reply_type"],
+}
+
+
+def all_counts(leads: DataFrame) -> DataFrame:
+    """``counted``, ``value`` and ``leads``: every count of ``value_counts`` the report needs, in one scan."""
+    columns = ["stage", "lead_type", "reply_type", "is_reseller"]
+    rows = leads.select(*columns[:-1], (F.col("lead_type") != "physical_shop").alias("is_reseller"))
+    counts = rows.groupingSets([[F.col(c) for c in own] for own in COUNTED.values()], *columns).agg(
+        F.grouping_id().alias("which"), F.count(F.lit(1)).alias("leads")
+    )
+    # Bit i, from the left, says that a column is not grouped by.
+    masks = {name: sum((c not in own) << (len(columns) - 1 - i) for i, c in enumerate(columns)) for name, own in COUNTED.items()}
+    counted = first_match((F.col("which") == mask, F.lit(name)) for name, mask in masks.items())
+    value = first_match((F.col("which") == masks[name], F.col(COUNTED[name][-1])) for name in COUNTED)
+    wanted = (F.col("which") != masks["reseller_reply"]) | F.col("is_reseller")
+    return counts.where(wanted).select(counted.alias("counted"), value.alias("value"), "leads")
+
+
 def reseller_reply_counts(leads: DataFrame) -> DataFrame:
     """Reply types of all leads that are not pure shops."""
     return value_counts(leads.where(F.col("lead_type") != "physical_shop"), "reply_type")
@@ -58,7 +84,7 @@ def headline_counts(leads: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("leads"),
         *[
             F.count_if(F.col("lead_type") == kind).alias(kind)
-            for kind in ("reseller", "reseller_with_email", "physical_shop", "hybrid")
+            for kind in LEAD_TYPES
         ],
         F.count_if(reseller).alias("resellers"),
         F.count_if(shop).alias("shops"),

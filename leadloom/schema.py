@@ -22,6 +22,8 @@ CLEAN_COLUMNS = RAW_COLUMNS + (
     "has_metrics",
 )
 
+LEAD_TYPES = ("reseller", "reseller_with_email", "physical_shop", "hybrid")
+
 # Struct of the columns that are not known, on the way through the cleaning.
 ADDITIONAL = "_additional"
 
