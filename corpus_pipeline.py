@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from leadloom.llm import bpe, contamination, jaccard, pii, quality
 from leadloom.llm.common import table
 from leadloom.llm.queries import ranks
+from leadloom.operators.ranking import with_position
 from leadloom.session import cut_lineage, ship_package
 
 ORACLE_SQL = None
@@ -30,9 +31,22 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group linked by shingle overlap."""
-    spare = cut_lineage(jaccard.components(docs).filter(F.col("component_id") < F.col("doc_id")).select("doc_id"))
-    return docs.join(spare, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group linked by shingle overlap, that of the smallest id.
+
+    Texts decide, whatever their ids: rows that repeat an id and rows without one are numbered
+    behind all ids, so each is a document of its own that may be a copy of any other.
+    """
+    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = cut_lineage(ids.filter(F.col("_rows") > 1).select("_id"))
+    single = docs.filter(F.col("doc_id").isNotNull()).join(repeated, F.col("doc_id") == F.col("_id"), "left_anti")
+    again = docs.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi").unionAll(docs.filter(F.col("doc_id").isNull()))
+    top = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0]
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
+    numbered = cut_lineage(with_position(again, order, "_node").withColumn("_node", F.col("_node") + F.lit(top)))
+    named = single.withColumn("_node", F.col("doc_id")).unionByName(numbered)
+    components = jaccard.components(named.select(F.col("_node").alias("doc_id"), "text"))
+    spare = cut_lineage(components.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_node")))
+    return named.join(spare, "_node", "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ counted exactly on the token codes (64 bits).
 
 Defined results: a text of fewer words than a shingle is one token; null and empty texts
 have none and are linked with nothing; rows with the same id are one document, linked as
-any of its texts is; rows without an id are linked with nothing and have no component; an
+any of its texts is (``n_shingles`` is that of the row's text); rows without an id are linked with nothing and have no component; an
 empty table gives an empty table; other columns play no part.
 """
 
@@ -407,6 +407,7 @@ def compared(blocked: DataFrame, roots: DataFrame | None, pairs: DataFrame, shar
 
 def linked(docs: DataFrame, copies: DataFrame, known: np.ndarray, share: int = SHARE, text: str = "text") -> DataFrame:
     """node and root of every class that is linked with another; ``copies`` (doc_id) play no part."""
+    # Every id has one set here, so one row of a class stands for it.
     classes = docs.join(copies, "doc_id", "left_anti").filter(F.col("doc_id").isNotNull())
     index = cut_lineage(signed(classes, known, share, text))
     members = cut_lineage(shared_rows(index))
@@ -431,6 +432,51 @@ def linked(docs: DataFrame, copies: DataFrame, known: np.ndarray, share: int = S
 def components(docs: DataFrame, share: int = SHARE, text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles and component_id, the smallest id reachable by links."""
     sets = cut_lineage(token_sets(docs, text))
+    split = cut_lineage(split_ids(sets))
+    if split.isEmpty():
+        return _components(docs, sets, share, text)
+    # Each text of such an id is a document of its own, numbered behind all ids, until links are known.
+    top = sets.agg(F.max("doc_id")).first()[0]
+    several = docs.select(F.col("doc_id").cast("bigint").alias("real"), text).join(split, F.col("real") == F.col("id"), "left_semi")
+    apart_rows = several.groupBy("real", text).agg(F.count(F.lit(1)).alias("rows"))
+    numbered = cut_lineage(
+        with_position(apart_rows, [F.col("real").asc(), F.xxhash64(text).asc()], "at").withColumn("doc_id", F.col("at") + top).drop("at")
+    )
+    whole = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).join(split, F.col("doc_id") == F.col("id"), "left_anti")
+    own = token_sets(numbered.select("doc_id", text), text)
+    both = cut_lineage(sets.join(split, F.col("doc_id") == F.col("id"), "left_anti").unionByName(own))
+    found = cut_lineage(_components(whole.unionByName(numbered.select("doc_id", text)), both, share, text))
+    return _rejoined(found, numbered.select(F.col("doc_id").alias("node"), "real", "rows"), top)
+
+
+def split_ids(sets: DataFrame) -> DataFrame:
+    """Ids that have several different sets."""
+    filled = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy(F.col("doc_id").alias("id"))
+    return filled.agg(F.min("digest").alias("one"), F.max("digest").alias("other")).filter(F.col("one") != F.col("other")).select("id")
+
+
+def _rejoined(found: DataFrame, numbered: DataFrame, top: int) -> DataFrame:
+    """Components of texts to components of ids: the texts of an id are linked with each other."""
+    members = found.join(numbered, F.col("doc_id") == F.col("node")).select("real", F.col("component_id").alias("of"))
+    firsts = members.groupBy(F.col("real").alias("id")).agg(F.min("of").alias("b"))
+    meeting = members.join(firsts, F.col("real") == F.col("id")).select(F.col("of").alias("a"), "b").distinct()
+    groups = connected(meeting).select(F.col("node").alias("member"), "root")
+    ids = members.select("of", F.col("real").alias("least")).union(
+        members.filter(F.col("of") <= top).select("of", F.col("of").alias("least"))
+    )
+    group = F.coalesce("root", "of")
+    in_group = ids.join(groups, F.col("of") == F.col("member"), "left").withColumn("group", group)
+    least = in_group.groupBy(F.col("group").alias("g")).agg(F.min("least").alias("least_id"))
+    names = cut_lineage(in_group.join(least, F.col("group") == F.col("g")).select(F.col("of").alias("was"), "least_id").distinct())
+    rows = found.join(numbered, F.col("doc_id") == F.col("node"), "left").join(names, F.col("component_id") == F.col("was"), "left")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("rows", F.lit(1)).cast("bigint")))
+    return rows.select(
+        F.coalesce("real", "doc_id").alias("doc_id"), "n_shingles", F.coalesce("least_id", "component_id").alias("component_id"), copies.alias("_copy")
+    ).drop("_copy")
+
+
+def _components(docs: DataFrame, sets: DataFrame, share: int, text: str) -> DataFrame:
+    """``components`` where every id has one set."""
     known = frequent_tokens(sets)
     filled = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     least = filled.groupBy(F.col("digest").alias("of_set")).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("held"))

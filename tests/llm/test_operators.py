@@ -100,6 +100,48 @@ def test_contamination_of_odd_rows(spark, odd_docs, no_docs):
     assert contamination.contained(odd_docs, bench.filter("false")).count() == 0
 
 
+def grams(text, width):
+    w = CHECK_WORDS.findall((text or "").lower())
+    return {(width, *w[i : i + width]) for i in range(len(w) - width + 1)}
+
+
+def test_contamination_equals_brute_force(spark):
+    """Items of one word to hundreds, inside documents of any length, whole, broken, scattered, repeated."""
+    draw = random.Random(17)
+    items = [(i, words(500 + i, draw.choice((1, 2, 3, 4, 5, 6, 9, 30, 200)))) for i in range(60)] + [(7, "another text"), (8, None), (None, "ban")]
+    docs = []
+    for i in range(150):
+        own = words(i, draw.choice((3, 8, 60, 500))).split()
+        for _ in range(draw.randrange(4)):
+            item = (draw.choice(items)[1] or "").split()
+            for _ in range(draw.randrange(3)):
+                item[draw.randrange(len(item)) if item else 0 : 0] = ["x"] * draw.randrange(2)
+            at, cut = draw.randrange(len(own)), draw.randrange(len(item) + 1)
+            own[at:at] = item[cut:]
+            own = own + item[:cut] if draw.random() < 0.3 else item[:cut] + own
+        docs.append((draw.randrange(140), " ".join(own)))
+    wanted = collections.defaultdict(set)
+    for i, t in items:
+        if i is not None and CHECK_WORDS.findall(t or ""):
+            wanted[i] |= grams(t, min(5, len(CHECK_WORDS.findall(t))))
+    held = collections.defaultdict(set)
+    for i, t in docs:
+        held[i] |= set().union(*[grams(t, width) for width in range(1, 6)])
+    want = {(d, i, len(w), len(w & own)) for d, own in held.items() for i, w in wanted.items() if 100 * len(w & own) >= 75 * len(w)}
+    got = contamination.contained(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {tuple(r) for r in got.drop("containment").collect()} == want
+    assert {len(wanted[i]) for _, i, _, _ in want} > {1, 26}
+
+
+def test_partitions_keep_most_hashes_of_documents_at_home(spark):
+    items = spark.createDataFrame([(i, words(i, 300)) for i in range(20)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, words(100 + i, 100 if i else 5_000)) for i in range(30)], "doc_id bigint, text string")
+    parts = contamination.partitions(contamination.sketches(contamination.item_shingles(items)))
+    met = contamination.probes(contamination._words_of(docs, "doc_id", "text"), parts)
+    # Short documents fit no partition; the long one sends about a quarter of its hashes.
+    assert {r["doc"] for r in met.collect()} == {0} and 0.2 * 4_996 < met.count() < 0.4 * 4_996
+
+
 # ---------------------------------------------------------------- op4
 
 
@@ -352,6 +394,40 @@ def test_join_equals_brute_force(spark, monkeypatch, seed, often, bucket, block)
     assert {tuple(r) for r in jaccard.components(docs).collect()} == plain_components(rows)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_join_with_repeated_ids_equals_brute_force(spark, seed):
+    """Ids that stand for several texts are linked as any of these is; every row comes back."""
+    draw = random.Random(seed)
+    rows = [(i % 230 if i % 3 else draw.randrange(100, 330), t) for i, t in copies(seed)]
+    rows += [(1, rows[0][1])] * 3 + [(None, rows[0][1]), (4, None), (4, "")]
+    single = plain_components(list(enumerate(t for _, t in rows)))
+    root_of, n_of = {k: r for k, _, r in single}, {k: n for k, n, _ in single}
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for k, (i, _) in enumerate(rows):
+        if i is not None and n_of[k]:
+            a, b = root(("id", i)), root(("set", root_of[k]))
+            parent[a] = b
+    least = collections.defaultdict(lambda: 1 << 60)
+    for k, (i, _) in enumerate(rows):
+        if i is not None and n_of[k]:
+            least[root(("id", i))] = min(least[root(("id", i))], i)
+    want = sorted(((i, n_of[k], None if i is None else least[root(("id", i))] if ("id", i) in parent else i) for k, (i, _) in enumerate(rows)), key=str)
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_link_of_the_second_text_of_an_id(spark):
+    x, y = words(1, 30), words(2, 80)
+    rows = spark.createDataFrame([(1, x), (2, x), (2, y), (3, y + " more")], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard.components(rows).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_signatures_find_all_pairs_at_the_bound():
     draw = np.random.default_rng(4)
     for trial in range(400):

@@ -8,6 +8,7 @@ import corpus_pipeline
 from leadloom.llm import bpe, pii
 from leadloom.llm.queries import ranks
 from tests.conftest import FOLDER
+from tests.llm.conftest import words
 from tests.llm.test_operators import CHECK_WORDS, plain_components
 
 
@@ -49,6 +50,17 @@ def test_stages(spark):
         assert r["exact"] and r["token_ids"] == enc.encode_ordinary(safe[i]["text"])
 
 
+def test_repeated_rows_and_rows_without_id_are_copies_too(spark):
+    x, y, z = (words(k, 60) for k in (1, 2, 3))
+    rows = [(7, y), (7, y), (8, x), (None, x), (None, x), (None, z), (None, z + " end"), (9, z.upper()), (5, None), (5, None), (6, words(4, 50)), (6, x + " and")]
+    docs = spark.createDataFrame([(i, t, "en", "web", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(7, y), (8, x), (9, z.upper()), (5, None), (5, None), (6, words(4, 50))], key=str
+    )
+
+
 def test_run_on_no_documents(spark, no_docs, tmp_path):
     for name in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
