@@ -61,16 +61,21 @@ def _words_of(table: DataFrame, key: str, text: str) -> DataFrame:
     return rows.filter(F.col("key").isNotNull() & (F.size("words") > 0))
 
 
-def _at(size: int) -> list[Column]:
-    """The words of a shingle; none behind its width."""
-    return [F.when(F.col("width") > k, F.get("words", F.col("place") + k)) for k in range(size)]
+def _at(width: int) -> list[Column]:
+    """The words of a shingle of known width."""
+    return [F.get("words", F.col("place") + k) for k in range(width)]
+
+
+def _at_most(size: int) -> list[Column]:
+    """The words of a shingle, none behind its width."""
+    return [F.when(F.col("width") > k, word) for k, word in enumerate(_at(size))]
 
 
 def item_shingles(items: DataFrame, key: str = "item_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
     """item, width, shingle, code: the distinct shingles of each item."""
     return (
         _shingle_rows(_words_of(items, key, text), None, size)
-        .select(F.col("key").alias("item"), "width", F.concat_ws(" ", *_at(size)).alias("shingle"), F.xxhash64(*_at(size)).alias("code"))
+        .select(F.col("key").alias("item"), "width", F.concat_ws(" ", *_at_most(size)).alias("shingle"), F.xxhash64(*_at_most(size)).alias("code"))
         .distinct()
     )
 
