@@ -49,16 +49,17 @@ def _shingle_rows(words: DataFrame, width: int | None, size: int, bound: Column
     ``bound`` is computed once for each text and passes through.
     """
     own = F.least(F.size("words"), F.lit(size)) if width is None else F.lit(width)
-    extra = [] if bound is None else ["bound"]
-    rows = words.withColumn("width", own).withColumn("n_places", F.size("words") - F.col("width") + 1).filter(F.col("n_places") > 0)
+    rows = words.withColumn("width", own).withColumn("n_places", F.size("words") - F.col("width") + 1)
+    extra, there = [], (F.col("width") > 0) & (F.col("n_places") > 0)
     if bound is not None:
-        rows = rows.withColumn("bound", bound).filter(F.col("bound").isNotNull())
-    return rows.select("key", "width", "words", *extra, F.explode(F.sequence(F.lit(0), F.col("n_places") - 1)).alias("place"))
+        rows, extra, there = rows.withColumn("bound", bound), ["bound"], F.col("bound").isNotNull()
+    # A filter on the texts' words would divide every text a second time: texts without a shingle give a place without number.
+    places = F.explode_outer(F.when(there, F.sequence(F.lit(0), F.col("n_places") - 1))).alias("place")
+    return rows.select("key", "width", "words", *extra, places).filter(F.col("place").isNotNull())
 
 
 def _words_of(table: DataFrame, key: str, text: str) -> DataFrame:
-    rows = table.select(F.col(key).alias("key"), _words(F.col(text)).alias("words"))
-    return rows.filter(F.col("key").isNotNull() & (F.size("words") > 0))
+    return table.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), _words(F.col(text)).alias("words"))
 
 
 def _at(width: int) -> list[Column]:
