@@ -22,6 +22,7 @@ from leadloom.plans import clean as clean_plan
 from leadloom.schema import RAW_COLUMNS, SHOP_COLUMNS
 from leadloom.session import cut_lineage, scratch_path
 from leadloom.sources import fixtures, key_index, tables
+from leadloom.streaming.confirm import confirmed_stream, write_confirmed
 from leadloom.streaming.ingest import ingest_stream, load_batch
 from oracles import tables as sql
 from oracles.tables import query
@@ -654,6 +655,37 @@ ENTRIES["confirmed_visits"] = (
         extra=SHOPS,
     ),
 )
+
+
+@entry(
+    "confirmed_visits_stream",
+    query(
+        f"SELECT {SHOP_LIST}, true AS appointment_confirmed FROM shop_plan "
+        "WHERE lead_id IN (SELECT lead_id FROM confirmations)",
+        "clean", "confirmations",
+        extra=SHOPS,
+    ),
+)
+def confirmed_visits_stream(spark, folder):
+    """The plan and the ticks of the day arrive file by file, some ticks twice and some before their shop."""
+    root = scratch_path(spark, "ticks")
+    planned = shops.plan_shops(clean(spark, folder)).withColumn("planned_at", F.lit("2026-06-30 08:00:00").cast("timestamp"))
+    minutes = F.pmod(F.xxhash64("lead_id"), F.lit(600))
+    ticked = fixtures.confirmations(spark, folder).select(
+        "lead_id", (F.lit("2026-06-30 08:30:00").cast("timestamp") + F.make_dt_interval(mins=minutes.cast("int"))).alias("ticked_at")
+    )
+    planned.repartition(2).write.parquet(f"{root}/plans")
+    ticked.unionAll(ticked.where(minutes < 100)).repartition(2).write.parquet(f"{root}/in")
+    streams = [
+        spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+        for name, table in (("plans", planned), ("in", ticked))
+    ]
+    write_confirmed(confirmed_stream(*streams, lateness="1 day"), f"{root}/confirmed", f"{root}/progress").awaitTermination()
+    columns = [c for c in SHOP_COLUMNS if c in planned.columns]
+    schema = planned.select(*columns).withColumn("appointment_confirmed", F.lit(True)).schema
+    return spark.read.schema(schema).parquet(f"{root}/confirmed")
+
+
 ENTRIES["visits_without_confirmations"] = (
     lambda spark, folder: shops.confirmed_visits(
         shops.plan_shops(clean(spark, folder)), tables.no_confirmations(spark)
