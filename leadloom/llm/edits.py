@@ -1,10 +1,11 @@
 """Edit-aware token counts with a segment tree over the pre-tokens of each document.
 
-A leaf holds one pre-token, its length and its number of tokens; inner nodes hold the sums
-of their subtrees.  An edit finds its leaves by length sums, reads again from one leaf
-before the one it touches (white space and contractions look ahead that far) and goes on
-until a new pre-token starts where an old one did, beyond the edit.  Only that stretch is
-encoded; its leaves are replaced and the sums above them updated.
+A leaf holds one pre-token and its number of tokens; leaves lie in blocks, and inner nodes
+hold the sums of lengths and tokens of the blocks below.  An edit finds its leaves by length
+sums, reads again from one leaf before the one it touches (white space and contractions look
+ahead that far) and goes on until a new pre-token starts where an old one did, beyond the
+edit.  Only that stretch is encoded; its leaves are replaced and the sums above them updated.
+A block that grows to twice its size splits, so many edits at one place stay cheap.
 
 ``count`` takes documents with an array of edits and does both in one pass; ``build`` and
 ``apply`` keep the trees' leaves in columns between batches of edits.
@@ -16,12 +17,13 @@ insertion is empty.
 
 Defined results: a null text is empty and has no token; null or no edits change nothing;
 equal rows give equal rows; an empty table gives an empty table; other columns pass
-through.  Pre-tokens that edits leave without a leaf of their own share one.
+through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,30 +58,42 @@ class TokenCounts(dict):
 
 
 class Tree:
-    """Leaves in order, and sums of lengths and tokens; node ``i`` has children ``2i`` and ``2i + 1``."""
+    """Leaves in blocks of up to ``2 * BLOCK``, and sums of lengths and tokens over the blocks.
 
-    def __init__(self, pieces: list[str], tokens: np.ndarray, counts: TokenCounts, pattern):
-        self.pieces, self.counts, self.pattern = pieces, counts, pattern
+    Node ``i`` of the sums has children ``2i`` and ``2i + 1``; the block ``b`` is node
+    ``size + b``.  A block that grows too long splits, an empty one goes.
+    """
+
+    BLOCK = 64
+
+    def __init__(self, pieces: list[str], tokens: list[int], counts: TokenCounts, pattern):
+        self.counts, self.pattern = counts, pattern
         self.reencoded = 0
-        self.size = 1
-        while self.size < max(len(pieces), 1):
-            self.size *= 2
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        self.lengths, self.tokens = self._sums(lengths), self._sums(tokens)
+        self.blocks, self.marks = self._cut(pieces), self._cut(tokens)
+        self._sum(*self._totals(self.blocks, self.marks))
 
     @classmethod
     def of(cls, text: str, counts: TokenCounts, pattern) -> Tree:
         pieces = pattern.findall(text)
-        return cls(pieces, np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces)), counts, pattern)
-
-    def _sums(self, leaves: np.ndarray) -> np.ndarray:
-        out = np.zeros(2 * self.size, np.int64)
-        out[self.size : self.size + len(leaves)] = leaves
-        first = self.size
-        while first > 1:
-            out[first // 2 : first] = out[first : 2 * first].reshape(-1, 2).sum(axis=1)
-            first //= 2
-        return out
+        return cls(pieces, [counts[p] for p in pieces], counts, pattern)
+
+    def _cut(self, leaves: list) -> list[list]:
+        return [leaves[i : i + self.BLOCK] for i in range(0, len(leaves), self.BLOCK)]
+
+    @staticmethod
+    def _totals(blocks: list[list[str]], marks: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter((len("".join(own)) for own in blocks), np.int64, len(blocks))
+        return lengths, np.fromiter(map(sum, marks), np.int64, len(marks))
+
+    def _sum(self, lengths: np.ndarray, tokens: np.ndarray) -> None:
+        self.size = 1 << max(len(lengths) - 1, 0).bit_length()
+        self.lengths, self.tokens = (np.zeros(2 * self.size, np.int64) for _ in range(2))
+        for sums, own in ((self.lengths, lengths), (self.tokens, tokens)):
+            sums[self.size : self.size + len(own)] = own
+            first = self.size
+            while first > 1:
+                sums[first // 2 : first] = sums[first : 2 * first].reshape(-1, 2).sum(axis=1)
+                first //= 2
 
     @property
     def length(self) -> int:
@@ -89,11 +103,17 @@ class Tree:
     def total(self) -> int:
         return int(self.tokens[1])
 
+    def pieces(self) -> list[str]:
+        return [p for own in self.blocks for p in own]
+
+    def piece_tokens(self) -> list[int]:
+        return [n for own in self.marks for n in own]
+
     def text(self) -> str:
-        return "".join(self.pieces)
+        return "".join(self.pieces())
 
-    def leaf_at(self, place: int) -> tuple[int, int]:
-        """The leaf that holds the character at ``place``, and the characters before that leaf."""
+    def leaf_at(self, place: int) -> tuple[int, int, int]:
+        """Block and number of the leaf that holds the character at ``place``, and the characters before that leaf."""
         node, before = 1, 0
         while node < self.size:
             node *= 2
@@ -101,16 +121,17 @@ class Tree:
             if place - before >= left:
                 before += left
                 node += 1
-        return node - self.size, before
-
-    def _set(self, leaf: int, piece: str, tokens: int) -> None:
-        self.pieces[leaf] = piece
-        node = leaf + self.size
-        longer, more = len(piece) - int(self.lengths[node]), tokens - int(self.tokens[node])
-        while node and (longer or more):
-            self.lengths[node] += longer
-            self.tokens[node] += more
-            node //= 2
+        block = node - self.size
+        for leaf, piece in enumerate(self.blocks[block]):
+            if place - before < len(piece):
+                return block, leaf, before
+            before += len(piece)
+        raise IndexError(place)
+
+    def _from(self, block: int, leaf: int) -> Iterator[str]:
+        yield from self.blocks[block][leaf:]
+        for later in range(block + 1, len(self.blocks)):
+            yield from self.blocks[later]
 
     def edit(self, start: int, stop: int, insert: str) -> None:
         length = self.length
@@ -118,66 +139,81 @@ class Tree:
         stop = min(max(stop, start), length)
         if not insert and stop == start:
             return
-        if not self.pieces:
-            self.pieces.append("")
-        first, before = self.leaf_at(max(start - 1, 0)) if length else (0, 0)
-        back = 0
-        while first and back < 2:  # two leaves that hold text
-            first -= 1
-            before -= len(self.pieces[first])
-            back += bool(self.pieces[first])
-        after, reached = self.leaf_at(stop) if stop < length else (len(self.pieces), length)
-        head = self._stretch(first, start - before)
-        buffer = head + insert
-        edited = len(buffer)
-        starts = set()  # where old leaves start in the buffer
-        if after < len(self.pieces):
-            if stop == reached:
-                starts.add(edited)
-            buffer += self.pieces[after][stop - reached :]
-            after += 1
-        new, place, end = [], 0, after
+        block = leaf = before = 0
+        if length:
+            block, leaf, before = self.leaf_at(max(start - 1, 0))
+        for _ in range(2):
+            if leaf == 0 and block:
+                block, leaf = block - 1, len(self.blocks[block - 1])
+            if leaf:
+                leaf -= 1
+                before -= len(self.blocks[block][leaf])
+        leaves = self._from(block, leaf) if length else iter(())
+        old, reached = [], before
+        while reached <= stop and (piece := next(leaves, None)) is not None:
+            old.append(piece)
+            reached += len(piece)
+        stretch = "".join(old)
+        buffer = stretch[: start - before] + insert + stretch[stop - before :]
+        edited, taken, more = start - before + len(insert), len(old), True
+        starts = {}  # where old leaves start in the buffer, and how many are before
+        if old and reached - len(old[-1]) == stop:
+            starts[edited] = taken - 1
+        new, place = [], 0
         while True:
             match = self.pattern.match(buffer, place) if place < len(buffer) else None
-            if (match is None or match.end() + LOOK_AHEAD > len(buffer)) and end < len(self.pieces):
-                for _ in range(16):
-                    if end < len(self.pieces):
-                        if self.pieces[end]:
-                            starts.add(len(buffer))
-                            buffer += self.pieces[end]
-                        end += 1
+            if more and (match is None or match.end() + LOOK_AHEAD > len(buffer)):
+                ahead = list(islice(leaves, 16))
+                more = len(ahead) == 16
+                for k, end in enumerate(accumulate(map(len, ahead), initial=len(buffer))):
+                    if k < len(ahead):
+                        starts[end] = taken + k
+                taken += len(ahead)
+                buffer += "".join(ahead)
                 continue
-            if place >= edited and place in starts or match is None:
+            if match is None or (place >= edited and place in starts):
                 break
             new.append(match.group())
             place = match.end()
-        # Leaves whose text starts at or behind the place where old and new agree stay.
-        left = len(buffer) - place
-        while left > 0:
-            end -= 1
-            left -= len(self.pieces[end])
-        if end == first:  # nothing is replaced: what is new shares the next leaf
-            new.append(self.pieces[first])
-            end += 1
-        self._replace(first, end, new)
-
-    def _stretch(self, first: int, count: int) -> str:
-        out, leaf = [], first
-        while count > 0:
-            out.append(self.pieces[leaf][:count])
-            count -= len(out[-1])
-            leaf += 1
-        return "".join(out)
-
-    def _replace(self, first: int, end: int, new: list[str]) -> None:
+        # Old leaves from the place on where old and new agree stay.
+        self._replace(block, leaf, taken if match is None else starts[place], new)
+
+    def _replace(self, block: int, leaf: int, count: int, new: list[str]) -> None:
+        """Put ``new`` in the place of ``count`` leaves from that one on."""
         self.reencoded += sum(map(len, new))
         tokens = [self.counts[p] for p in new]
-        slots = max(end - first, 1)
-        if len(new) > slots:
-            new[slots - 1 :] = ["".join(new[slots - 1 :])]
-            tokens[slots - 1 :] = [sum(tokens[slots - 1 :])]
-        for k in range(slots):
-            self._set(first + k, new[k] if k < len(new) else "", tokens[k] if k < len(new) else 0)
+        last, rest = block, leaf + count
+        while last + 1 < len(self.blocks) and rest > len(self.blocks[last]):
+            rest -= len(self.blocks[last])
+            last += 1
+        pieces, marks = [new], [tokens]
+        if self.blocks:
+            pieces = [self.blocks[block][:leaf] + new, self.blocks[last][rest:]]
+            marks = [self.marks[block][:leaf] + tokens, self.marks[last][rest:]]
+        if last == block:
+            pieces, marks = [sum(pieces, [])], [sum(marks, [])]
+        same = len(pieces) == last - block + 1 and last < len(self.blocks)
+        if same and all(0 < len(own) <= 2 * self.BLOCK for own in pieces):
+            self.blocks[block : last + 1], self.marks[block : last + 1] = pieces, marks
+            for k, (length, total) in enumerate(zip(*self._totals(pieces, marks), strict=True)):
+                self._set(self.size + block + k, int(length), int(total))
+            return
+        pieces = [part for own in pieces for part in self._cut(own)]
+        marks = [part for own in marks for part in self._cut(own)]
+        known = slice(self.size, self.size + len(self.blocks))
+        sums = [
+            np.concatenate([old[known][:block], part, old[known][last + 1 :]])
+            for old, part in zip((self.lengths, self.tokens), self._totals(pieces, marks), strict=True)
+        ]
+        self.blocks[block : last + 1], self.marks[block : last + 1] = pieces, marks
+        self._sum(*sums)
+
+    def _set(self, node: int, length: int, tokens: int) -> None:
+        longer, more = length - int(self.lengths[node]), tokens - int(self.tokens[node])
+        while node and (longer or more):
+            self.lengths[node] += longer
+            self.tokens[node] += more
+            node //= 2
 
 
 def _apply(tree: Tree, edits: list[dict] | None) -> int:
@@ -241,10 +277,9 @@ TREE = T.StructType(
 
 
 def _leaves(trees: list[Tree]) -> list[pa.Array]:
-    tokens = [t.tokens[t.size : t.size + len(t.pieces)].tolist() for t in trees]
     return [
-        pa.array([t.pieces for t in trees], pa.list_(pa.string())),
-        pa.array(tokens, pa.list_(pa.int32())),
+        pa.array([t.pieces() for t in trees], pa.list_(pa.string())),
+        pa.array([t.piece_tokens() for t in trees], pa.list_(pa.int32())),
         pa.array([t.total for t in trees], pa.int64()),
     ]
 
@@ -275,7 +310,7 @@ def apply(trees: DataFrame, rank_file: str, pattern: str, edits: str = "edits")
             columns = {n: batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("leaves", "leaf_tokens", edits)}
             out = []
             for pieces, tokens, changes in zip(*columns.values(), strict=True):
-                tree = Tree(list(pieces or []), np.array(tokens or [], np.int64), counts, split)
+                tree = Tree(pieces or [], tokens or [], counts, split)
                 _apply(tree, changes)
                 out.append(tree)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), *_leaves(out)], names=schema.fieldNames())

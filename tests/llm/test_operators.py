@@ -162,6 +162,33 @@ def test_tree_counts_like_a_new_encoding():
             assert (tree.total, tree.length) == (len(counts.encoding.encode_ordinary(text)), len(text))
 
 
+def test_many_edits_at_one_place_stay_cheap():
+    counts, pattern = edits.TokenCounts(ranks(), PATTERN), regex.compile(PATTERN)
+    for where in ("end", "middle", "start"):
+        text = "some words in a row and " * 40
+        tree = edits.Tree.of(text, counts, pattern)
+        most = 0
+        for k in range(2_000):
+            at = {"end": len(text), "middle": len(text) // 2, "start": 0}[where]
+            insert, done = f" and {k} new words", tree.reencoded
+            tree.edit(at, at, insert)
+            text = text[:at] + insert + text[at:]
+            most = max(most, tree.reencoded - done)
+        assert most < 80
+        assert tree.text() == text and tree.total == len(counts.encoding.encode_ordinary(text))
+        assert tree.pieces() == pattern.findall(text) and max(map(len, tree.blocks)) <= 2 * tree.BLOCK
+        for k in range(1_000):
+            at = (k * 7_919) % len(text)
+            tree.edit(at, at + 20, "")
+            text = text[:at] + text[at + 20 :]
+        assert tree.pieces() == pattern.findall(text) and tree.total == len(counts.encoding.encode_ordinary(text))
+        assert all(tree.blocks)
+        tree.edit(0, len(text), "")
+        assert (tree.total, tree.length, tree.pieces()) == (0, 0, [])
+        tree.edit(0, 0, "back again")
+        assert tree.text() == "back again"
+
+
 def test_edited_counts_of_odd_rows(odd_docs, no_docs):
     def changed(docs):
         return docs.withColumn("edits", F.when(F.col("doc_id") != 7, edits.sample_edits(F.col("doc_id"), F.col("text"))))
