@@ -25,8 +25,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +49,7 @@ LABELS = ("", *KINDS)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
-_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _SECRET = re.compile(r'(?<=")[0-9a-f]{32,64}(?=")')
@@ -55,11 +58,13 @@ MAX_ATOMS = 14
 _ISLAND = re.compile(
     r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]{1,2})?"
     r"[^\x20\x09-\x0D0-9@+]*[0-9@+][^\x20\x09-\x0D]*"
-    r"(?:[\x20\x09-\x0D]{1,2}[^\x20\x09-\x0D0-9@+]*[0-9@+][^\x20\x09-\x0D]*)*"
+    r"(?:[\x20\x09-\x0D]{1,2}[^\x20\x09-\x0D0-9@+]*[0-9@+][^\x20\x09-\x0D]*)*+"
     r"(?:[\x20\x09-\x0D]{1,2}[^\x20\x09-\x0D]+)?"
 )
 _TRIGGER = re.compile(r"[0-9@+]")
+_HEX = re.compile(r"[0-9a-f]+")
 _ATOM = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]|\s+")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _BREAK = frozenset("\x20\t\n\x0b\x0c\r")
 
 
@@ -78,6 +83,10 @@ def _small(part: str) -> bool:
     return len(part) < 3 or (len(part) == 3 and part <= "255")
 
 
+def _octet(part: str) -> bool:
+    return part.isascii() and part.isdigit() and _small(part)
+
+
 def _emails(text: str) -> Iterator[Span]:
     """Matches of the address pattern: each ends a run of local characters with ``@`` and a domain."""
     free, at = 0, text.find("@")
@@ -148,6 +157,15 @@ def _shape_of(match: re.Match) -> str:
     return "9" if first.isdigit() else " " if first.isspace() else "a"
 
 
+def _shape(span: str) -> str:
+    return _SHAPE.sub(_shape_of, span)
+
+
+def _word_before(text: str, start: int) -> str:
+    before = text[max(0, start - 12) : start].rstrip(" \"'=:").lower()
+    return before[-6:] if before[-5:].isalpha() else "other"
+
+
 def _kind_of(text: str, at: int) -> str:
     if not 0 <= at < len(text):
         return "edge"
@@ -159,10 +177,9 @@ def segment_features(text: str, start: int, end: int) -> list[str]:
     """Names of the features that hold for ``text[start:end]`` as one entity."""
     span = text[start:end]
     digits = "".join(_DIGIT.findall(span))
-    shape = _SHAPE.sub(_shape_of, span)
+    shape = _shape(span)
     parts = span.split(".")
-    octets = len(parts) == 4 and all(p.isdigit() and _small(p) for p in parts)
-    before = text[max(0, start - 12) : start].rstrip(" \"'=:").lower()
+    octets = len(parts) == 4 and all(map(_octet, parts))
     return [
         f"shape {shape[:24]}",
         f"digits {min(len(digits), 20)}",
@@ -173,7 +190,7 @@ def segment_features(text: str, start: int, end: int) -> list[str]:
         f"left {_kind_of(text, start - 1)}",
         f"right {_kind_of(text, end)}",
         f"hex {len(span) >= 32 and all(c in '0123456789abcdef' for c in span)}",
-        f"after {before[-6:] if before[-5:].isalpha() else 'other'}",
+        f"after {_word_before(text, start)}",
     ]
 
 
@@ -231,34 +248,150 @@ class Field:
         out[grid.size == 1, 0] = 0.0
         return out
 
-    def decode(self, text: str) -> list[Span]:
-        """The best segmentation, as entity spans of the text."""
-        grid = lattice(text)
-        atoms = len(grid.bounds)
-        if not atoms:
-            return []
-        scores = self.scores(grid)
-        best = np.full((atoms + 1, len(LABELS)), -np.inf)
-        best[0, 0] = 0.0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        for k in range(len(grid.stop)):
-            end, begin = int(grid.stop[k]), int(grid.stop[k] - grid.size[k])
-            reach = best[begin][:, None] + self.transitions
-            came = reach.argmax(axis=0)
-            total = reach[came, np.arange(len(LABELS))] + scores[k]
-            for label in np.nonzero(total > best[end])[0]:
-                best[end, label] = total[label]
-                back[end, int(label)] = begin, int(came[label])
-        spans: list[Span] = []
-        end, label = atoms, int(best[atoms].argmax())
-        while end > 0:
-            begin, came = back[end, label]
-            if label:
-                spans.append((LABELS[label], grid.bounds[begin][0], grid.bounds[end - 1][1]))
-            end, label = begin, came
-        return spans[::-1]
-
-
+    def rows(self, names: Iterable[str]) -> np.ndarray:
+        """Weights of these features, one row each; zeros for those never seen."""
+        return np.array([self.weights[self.index[n]] if n in self.index else np.zeros(len(LABELS)) for n in names])
+
+    def window_scores(self, atoms: list[Atom], context: int = 0) -> np.ndarray:
+        """Scores by last atom, size less one and label, of all segments that end behind the first ``context`` atoms.
+
+        The same as ``scores`` of the lattices, by sums over the atoms instead of the texts of
+        segments; no segment goes beyond the island of its last atom.
+        """
+        n = len(atoms)
+        pieces, lefts, rights, words, places, _ = zip(*atoms, strict=True)
+        place, length = np.array(places), _sums(list(map(len, pieces)))
+        solid = np.array([not p.isspace() for p in pieces])
+        digits = ["".join(_DIGIT.findall(p)) for p in pieces]
+        triggers = _sums([bool(_TRIGGER.search(p)) for p in pieces])
+        ats, unhex = _sums([p == "@" for p in pieces]), _sums([not _HEX.fullmatch(p) for p in pieces])
+        octet, dot = (np.array([test(p) for p in pieces]) for test in (_octet, ".".__eq__))
+        n_digits = _sums([len(d) for d in digits])
+        plain = np.frombuffer("".join(digits).encode(), np.uint8).astype(np.int64) - 48
+        double = np.where(plain > 4, 2 * plain - 9, 2 * plain)
+        odd = np.arange(len(plain)) % 2 == 1
+        luhn = [_sums(np.where(odd == bool(k), plain, double)) for k in (0, 1)]  # by whether the last digit is at an odd place
+
+        shapes, shape = np.unique([_shape(p)[:24] for p in pieces], return_inverse=True)
+        alone, alone_id = list(map(str, shapes)), shape
+        kinds, edge = np.unique([_kind_of(p, k) for p in pieces for k in (0, len(p) - 1)], return_inverse=True)
+        opens, ends = edge[::2], edge[1::2]
+        ends_of = self.rows(f"ends {x} {y}" for x in kinds for y in kinds)
+        left = self.looked_up("left", lefts) + self.looked_up("after", words)
+        right = self.looked_up("right", rights)
+        digits_of = self.rows(f"digits {k}" for k in range(21))
+        check_of = self.rows(f"check {k}" for k in ("none", False, True))
+        octets_of = self.rows(f"octets {k}" for k in (False, True))
+        at_of = self.rows(f"at {k}" for k in range(MAX_ATOMS + 1))
+        hex_of = self.rows(f"hex {k}" for k in (False, True))
+
+        out = np.full((n, MAX_ATOMS, len(LABELS)), -np.inf)
+        names = alone
+        for size in range(1, min(MAX_ATOMS, n) + 1):
+            last = np.arange(size - 1, n)
+            begin = last - (size - 1)
+            if size > 1:  # the shape of the segment without its last atom, and that atom's
+                pairs, shape = np.unique(shape[:-1] * len(alone) + alone_id[last], return_inverse=True)
+                names = [(names[p // len(alone)] + alone[p % len(alone)])[:24] for p in pairs.tolist()]
+            shape_of = self.rows(f"shape {x}" for x in names)
+            shape_of[[f"shape {x}" not in self.index for x in names], 1:] -= UNSEEN_SHAPE
+            done, end = n_digits[begin], n_digits[last + 1]
+            count = end - done
+            by_last = np.where(end % 2 == 0, luhn[1][end] - luhn[1][done], luhn[0][end] - luhn[0][done])
+            check = np.where((count >= 13) & (count <= 19), 1 + (by_last % 10 == 0), 0)
+            octets = np.zeros(len(last), np.int64)
+            if size == 7:
+                octets[:] = np.logical_and.reduce([(dot if k % 2 else octet)[begin + k] for k in range(7)])
+            whole_hex = (unhex[last + 1] == unhex[begin]) & (length[last + 1] - length[begin] >= 32)
+            score = shape_of[shape] + digits_of[np.minimum(count, 20)] + check_of[check] + octets_of[octets]
+            score += at_of[ats[last + 1] - ats[begin]] + ends_of[opens[begin] * len(kinds) + ends[last]]
+            score += left[begin] + right[last] + hex_of[whole_hex.astype(np.int64)] + self.weights[-1]
+            entity = solid[begin] & solid[last] & (triggers[last + 1] > triggers[begin]) & (place[last] >= size - 1)
+            score[~entity] = -np.inf
+            score[:, 0] = 0.0 if size == 1 else -np.inf
+            out[last, size - 1] = score
+        return out[context:]
+
+    def looked_up(self, feature: str, values: Sequence[str]) -> np.ndarray:
+        distinct = {v: k for k, v in enumerate(dict.fromkeys(values))}
+        return self.rows(f"{feature} {v}" for v in distinct)[[distinct[v] for v in values]]
+
+    def decode(self, island: str) -> list[Span]:
+        """The best segmentation, as entity spans of the island."""
+        return next(self.decode_all([island]), [])
+
+    def decode_all(self, islands: Iterable[str]) -> Iterator[list[Span]]:
+        """The best segmentation of each island that is not empty.
+
+        Scores are made for ``WINDOW`` atoms at a time, of several islands or a part of one;
+        only the ends of an island's atoms and the way back are kept.
+        """
+        labels = np.arange(len(LABELS))
+        # Best way to each place, the transition behind it included; the newest place comes first.
+        reach = np.full((WINDOW + MAX_ATOMS, len(LABELS)), -np.inf)
+        from_label = np.zeros(reach.shape, np.int8)
+        stops, sizes, came = array("q", [0]), bytearray(), bytearray()
+        context: list[Atom] = []
+        found = (atom for island in islands for atom in _atoms(island))
+        while atoms := list(islice(found, WINDOW)):
+            reach[WINDOW:], from_label[WINDOW:] = reach[:MAX_ATOMS].copy(), from_label[:MAX_ATOMS].copy()
+            scores = self.window_scores(context + atoms, len(context))
+            for at, atom, own in zip(range(WINDOW, 0, -1), atoms, scores, strict=False):
+                if atom.place == 0:
+                    reach[at], from_label[at] = self.transitions[0], 0
+                ways = reach[at : at + MAX_ATOMS] + own
+                size = ways.argmax(axis=0)
+                best = ways[size, labels]
+                sizes += (size + 1).astype(np.int8).tobytes()
+                came += from_label[at + size, labels].tobytes()
+                stops.append(stops[-1] + len(atom.piece))
+                if atom.last:
+                    yield _way_back(int(best.argmax()), stops, sizes, came)
+                    stops, sizes, came = array("q", [0]), bytearray(), bytearray()
+                else:
+                    onward = best[:, None] + self.transitions
+                    from_label[at - 1] = label = onward.argmax(axis=0)
+                    reach[at - 1] = onward[label, labels]
+            if len(atoms) == WINDOW:
+                context = (context + atoms)[-(MAX_ATOMS - 1) :]
+
+
+class Atom(NamedTuple):
+    """A piece of an island: what lies on both sides, the word before, its number (up to ``MAX_ATOMS``)."""
+
+    piece: str
+    left: str
+    right: str
+    word: str
+    place: int
+    last: bool
+
+
+def _atoms(island: str) -> Iterator[Atom]:
+    for place, found in enumerate(_ATOM.finditer(island)):
+        a, b = found.span()
+        yield Atom(found.group(), _kind_of(island, a - 1), _kind_of(island, b), _word_before(island, a), min(place, MAX_ATOMS), b == len(island))
+
+
+def _way_back(label: int, stops: array, sizes: bytearray, came: bytearray) -> list[Span]:
+    spans: list[Span] = []
+    end = len(stops) - 1
+    while end > 0:
+        at = (end - 1) * len(LABELS) + label
+        begin = end - sizes[at]
+        if label:
+            spans.append((LABELS[label], stops[begin], stops[end]))
+        end, label = begin, came[at]
+    return spans[::-1]
+
+
+def _sums(values) -> np.ndarray:
+    """Sums of the first 0, 1, 2, ... values."""
+    return np.concatenate([[0], np.cumsum(np.asarray(values, np.int64))]).astype(np.int64)
+
+
+#: Atoms whose segments are scored at once.
+WINDOW = 2048
 #: A span whose shape was never seen in training loses this much.
 UNSEEN_SHAPE = 6.0
 
@@ -384,10 +517,8 @@ def _parts(text: str, start: int, end: int, spans: list[Span], longest: int) ->
     if end - start <= longest:
         yield start, end
         return
-    inside = {i for _, a, b in spans for i in range(a + 1, b)}
-    cuts = [i for i in range(start + 1, end) if text[i] in _BREAK and i not in inside]
     first = last = start
-    for cut in [*cuts, end]:
+    for cut in _cuts(text, start, end, spans):
         if cut - first > longest:
             if first < last:
                 yield first, last
@@ -399,13 +530,25 @@ def _parts(text: str, start: int, end: int, spans: list[Span], longest: int) ->
         yield first, last
 
 
+def _cuts(text: str, start: int, end: int, spans: list[Span]) -> Iterator[int]:
+    """Places of white space outside the spans, which are in order, and the end."""
+    ahead = 0
+    for found in _SPACE.finditer(text, start + 1, end):
+        cut = found.start()
+        while ahead < len(spans) and spans[ahead][2] <= cut:
+            ahead += 1
+        if ahead == len(spans) or cut <= spans[ahead][1]:
+            yield cut
+    yield end
+
+
 def fit(docs: DataFrame, text: str = "text", fit_islands: int = 240, longest_island: int = 300) -> Field | None:
     """Train on ``fit_islands`` distinct islands of all documents.
 
     Half of the places are dealt evenly to the combinations of kinds that occur, islands
     without a span being one; the others go to the islands that come first by hash.
     """
-    rows = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))
+    rows = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@+]"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_batches(batches, 1000):
@@ -437,16 +580,37 @@ def fit(docs: DataFrame, text: str = "text", fit_islands: int = 240, longest_isl
 
 def all_spans(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
     """Base spans, and those the field adds."""
-    base = base_spans(text)
-    added: list[Span] = []
-    if field is not None and _TRIGGER.search(text):
-        taken = sorted((a, b) for _, a, b in base)
-        for start, end in islands(text):
-            for kind, a, b in field.decode(text[start:end]):
-                a, b = a + start, b + start
-                if all(b <= x or a >= y for x, y in taken if x < end and y > start):
-                    added.append((kind, a, b))
-    return base, added
+    return next(spans_of([text], field))
+
+
+def spans_of(texts: list[str], field: Field | None) -> Iterator[tuple[list[Span], list[Span]]]:
+    """For each text its base spans, and those the field adds."""
+    found = iter(()) if field is None else field.decode_all(text[a:b] for text in texts for a, b in islands(text))
+    for text in texts:
+        base = base_spans(text)
+        added: list[Span] = []
+        if field is not None:
+            taken = _covered(base)
+            ahead = 0
+            for start, _ in islands(text):
+                for kind, a, b in next(found):
+                    a, b = a + start, b + start
+                    while ahead < len(taken) and taken[ahead][1] <= a:
+                        ahead += 1
+                    if ahead == len(taken) or b <= taken[ahead][0]:
+                        added.append((kind, a, b))
+        yield base, added
+
+
+def _covered(spans: list[Span]) -> list[list[int]]:
+    """What the spans cover, as ranges in order without overlaps."""
+    out: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
 
 
 def redacted(text: str, spans: list[Span]) -> str:
@@ -485,8 +649,8 @@ def find(docs: DataFrame, field: Field | None, text: str = "text", redact: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_batches(batches, 1000):
             out: dict[str, list] = {n: [] for n in names}
-            for own in batch.column(batch.schema.get_field_index(text)).to_pylist():
-                base, more = all_spans(own or "", field)
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            for own, (base, more) in zip(texts, spans_of([t or "" for t in texts], field), strict=True):
                 for kind in BASE_KINDS:
                     out[f"n_{kind}"].append(sum(s[0] == kind for s in base))
                 out["base_sha256"].append(hashlib.sha256(written(base).encode()).hexdigest())

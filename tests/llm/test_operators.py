@@ -4,6 +4,8 @@ import collections
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -273,6 +275,103 @@ def test_copies_and_order_leave_the_field_its_kinds(spark):
     assert once.index == field.index and np.array_equal(once.weights, field.weights)
 
 
+FIELD_TEXTS = ["12.5 ", "a", "1", "9", " ", "@", "+4", ".", "-", "é", "\u0663", "\n", '"', "=", "token ", "4845 1681 1440 7329", "10.0.0.1", "300.1.2.3", "0f" * 20]
+
+
+def any_field(draw):
+    """A field with all features of some texts and weights without meaning."""
+    texts = ["".join(draw.choice(FIELD_TEXTS) for _ in range(20)) for _ in range(30)]
+    names = sorted({n for t in texts for each in pii.lattice(t).names for n in each})
+    numbers = np.random.default_rng(draw.randrange(1_000))
+    return pii.Field({n: i for i, n in enumerate(names)}, numbers.normal(size=(len(names) + 1, 6)), numbers.normal(size=(6, 6)))
+
+
+def every_path(grid, scores, end):
+    """All ways through the island as ((segment, label), ...)."""
+    if end == 0:
+        yield ()
+        return
+    for k in np.nonzero(grid.stop == end)[0]:
+        for label in np.nonzero(np.isfinite(scores[k]))[0]:
+            for path in every_path(grid, scores, end - int(grid.size[k])):
+                yield (*path, (int(k), int(label)))
+
+
+def path_score(field, scores, path):
+    total, before = 0.0, 0
+    for k, label in path:
+        total += field.transitions[before, label] + scores[k, label]
+        before = label
+    return total
+
+
+def test_scores_of_segments_equal_the_lattice():
+    draw = random.Random(3)
+    field = any_field(draw)
+    texts = ["".join(draw.choice(FIELD_TEXTS) for _ in range(draw.randint(1, 25))) for _ in range(150)]
+    for text in texts:
+        grid = pii.lattice(text)
+        slow, fast = field.scores(grid), field.window_scores(list(pii._atoms(text)))
+        for k, (stop, size) in enumerate(zip(grid.stop, grid.size, strict=True)):
+            assert np.allclose(slow[k], fast[stop - 1, size - 1])
+        assert np.isfinite(fast).any(axis=2).sum() == np.isfinite(slow).any(axis=1).sum()
+    once = [field.decode(t) for t in texts]
+    for window in (pii.MAX_ATOMS, 100):
+        whole, pii.WINDOW = pii.WINDOW, window
+        try:
+            assert list(field.decode_all(texts)) == once
+        finally:
+            pii.WINDOW = whole
+
+
+@pytest.mark.parametrize("text", ["+4 1.2", "a@b.c", 'x="0f', "1 2 3", "7", "no", "1-2 @"])
+def test_field_equals_enumeration(text):
+    field = any_field(random.Random(len(text)))
+    grid = pii.lattice(text)
+    scores = field.scores(grid)
+    paths = list(every_path(grid, scores, len(grid.bounds)))
+    best = max(paths, key=lambda p: path_score(field, scores, p))
+    ends = {k: (grid.bounds[int(grid.stop[k] - grid.size[k])][0], grid.bounds[int(grid.stop[k]) - 1][1]) for k in range(len(grid.stop))}
+    assert field.decode(text) == [(pii.LABELS[label], *ends[k]) for k, label in best if label]
+    # The gradient: what the labelled path holds less what all paths hold on average.
+    own = [[field.index[n] for n in names if n in field.index] for names in grid.names]
+    ids = [np.array([*o, len(field.index)], np.int64) if names else None for o, names in zip(own, grid.names, strict=True)]
+    raw = np.full_like(scores, -np.inf)
+    for k, rows in enumerate(ids):
+        if rows is not None:
+            raw[k] = field.weights[rows].sum(axis=0)
+    raw[:, 0] = np.where(grid.size == 1, 0.0, -np.inf)
+    chance = np.exp([path_score(field, raw, p) for p in paths])
+    chance /= chance.sum()
+    truth = paths[len(paths) // 2]
+    want_w, want_t = np.zeros_like(field.weights), np.zeros_like(field.transitions)
+    for path, share in [(truth, 1.0), *zip(paths, -chance, strict=True)]:
+        before = 0
+        for k, label in path:
+            if ids[k] is not None:
+                want_w[ids[k], label] += share
+            want_t[before, label] += share
+            before = label
+    got_w, got_t = np.zeros_like(want_w), np.zeros_like(want_t)
+    pii._gradient(field, grid, ids, list(truth), got_w, got_t)
+    assert np.allclose(got_w, want_w) and np.allclose(got_t, want_t)
+
+
+def test_long_islands_need_little_memory():
+    code = """
+import resource
+from leadloom.llm import pii
+texts = [f'mail a{i}@b.com or 10.0.0.{i} and token = "{i:040x}" set' for i in range(40)]
+field = pii.train([e for t in texts for e in pii.labelled_islands(t)])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+assert pii.all_spans("12.5 " * 60_000, field)[0] == []
+assert len(pii.all_spans(" ".join(f"a{i}@b.com" for i in range(40_000)), field)[0]) == 40_000
+assert sum(len(s) for _, s in pii.labelled_islands("12.5 " * 60_000 + "10.0.0.1 " * 40_000)) == 40_000
+assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300)
+
+
 def test_long_islands_are_trained_on_in_parts():
     text = "1 2 3 4 " * 200 + "5555 " * 3 + "4845 1681 1440 7329 and so on 10.0.0.1 " + "9" * 400 + " 10.0.0.2"
     parts = list(pii.labelled_islands(text))
