@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from leadloom import rules
 from leadloom.functions import keys, text
-from leadloom.operators import batch, city, classify, drafts, geo, identity, incremental, normalise, queue, report, shops
+from leadloom.operators import batch, city, classify, drafts, geo, identity, incremental, normalise, phrases, queue, report, shops
 from leadloom.operators.ranking import with_position
 from leadloom.plans import clean as clean_plan
 from leadloom.schema import RAW_COLUMNS, SHOP_COLUMNS
@@ -488,6 +488,45 @@ ENTRIES["note_hints"] = (
 )
 
 
+@entry("message_meaning_by_table", query(MEANING, "raw_leads"))
+def message_meaning_by_table(spark, folder):
+    outcomes = [(number, *outcome) for number, outcome in enumerate(classify.MEANINGS[1:-1])]
+    outcomes = spark.createDataFrame(outcomes, "rule int, stage string, reply_type string, layer int")
+    found = classify.classify_messages_by(raw(spark, folder), classify.meaning_rules(spark), outcomes)
+    return found.select("lead_id", "meaning.*")
+
+
+@entry("objection_type_by_table", query("SELECT lead_id, obj_type FROM single", "single"))
+def objection_type_by_table(spark, folder):
+    listed = phrases.rule_table(spark, [(texts, False) for texts in rules.OBJECTION_PHRASES.values()])
+    kinds = spark.createDataFrame(list(enumerate(rules.OBJECTION_PHRASES)), "rule int, kind string")
+    said = raw(spark, folder).select("lead_id", text.message_text("last_inbound_text").alias("message"))
+    found = phrases.with_first_rule(said, "message", listed).join(kinds, "rule", "left")
+    return found.select("lead_id", F.coalesce("kind", F.lit("none")).alias("obj_type"))
+
+
+@entry("note_hint_rules", query(
+    "SELECT lead_id, '[' || concat_ws(', ', " + ", ".join(
+        f"CASE WHEN contains(lower(notes), {sql.quoted(word)}) THEN '{number}' END" for number, word in enumerate(rules.NOTE_HINTS)
+    ) + ") || ']' AS hint_rules FROM geo", "geo"))
+def note_hint_rules(spark, folder):
+    listed = phrases.rule_table(spark, [([word], False) for word in rules.NOTE_HINTS])
+    noted = repaired(spark, folder).select("lead_id", F.lower("notes").alias("notes"))
+    found = F.coalesce("hint_rules", F.array().cast("array<int>"))
+    return phrases.with_all_rules(noted, "notes", listed, "hint_rules").select("lead_id", found.cast("string").alias("hint_rules"))
+
+
+@entry("store_places_by_table", query(
+    "SELECT lead_id, CASE " + " ".join(
+        f"WHEN contains(lower(store_name), {sql.quoted(word)}) THEN {sql.quoted(place)}" for word, place in rules.STORE_NAME_PLACES.items()
+    ) + " END AS place FROM raw_leads", "raw_leads"))
+def store_places_by_table(spark, folder):
+    listed = phrases.rule_table(spark, [([word], False) for word in rules.STORE_NAME_PLACES])
+    places = spark.createDataFrame(list(enumerate(rules.STORE_NAME_PLACES.values())), "rule int, place string")
+    shops_named = raw(spark, folder).select("lead_id", F.lower("store_name").alias("store"))
+    return phrases.with_first_rule(shops_named, "store", listed).join(places, "rule", "left").select("lead_id", "place")
+
+
 @entry("clean_leads", query(f"SELECT {sql.CLEAN_COLUMNS} FROM clean", "clean"))
 def clean_leads(spark, folder):
     return clean_plan.clean_leads(raw(spark, folder), AS_OF)

@@ -10,12 +10,13 @@ from datetime import date
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom import rules
 from leadloom.functions import text
 from leadloom.functions.logic import ColumnLike, as_column, contains_any, first_match, pick, shortest
+from leadloom.operators.phrases import rule_table, with_first_rule
 
 OVERDUE_AFTER_DAYS = 7
 OVERDUE_UNTIL_DAYS = 730
@@ -117,6 +118,26 @@ def classify_messages(leads: DataFrame, message: str = "last_inbound_text") -> D
     return numbered.withColumn("meaning", message_meaning("_number")).drop("_number")
 
 
+def meaning_rules(spark: SparkSession) -> DataFrame:
+    """The built-in lists as a rule table; rule 0 is position 1 in ``MEANINGS``."""
+    cases = [(texts, True) for texts, _, _ in EXACT_MEANINGS]
+    return rule_table(spark, cases + [(phrases, False) for _, phrases, _, _ in PHRASE_MEANINGS])
+
+
+def classify_messages_by(leads: DataFrame, rule_rows: DataFrame, outcomes: DataFrame, message: str = "last_inbound_text") -> DataFrame:
+    """Add ``meaning`` by a rule table and the table of what its rules mean.
+
+    ``outcomes`` has one row for each ``rule``: ``stage``, ``reply_type`` and ``layer``;
+    messages that no rule knows, and missing ones, get the built-in outcomes.
+    """
+    known = outcomes.select("rule", F.struct("stage", "reply_type", "layer").alias("_known"))
+    numbered = with_first_rule(leads.withColumn("_msg", text.message_text(message)), "_msg", rule_rows, "_rule")
+    unknown = F.when(F.col("_msg").isNull(), message_meaning(F.lit(0))).otherwise(message_meaning(F.lit(len(MEANINGS) - 1)))
+    out = numbered.join(known, F.col("_rule") == F.col("rule"), "left")
+    kept = [F.col(f"`{c}`") for c in leads.columns if c != "meaning"]
+    return out.select(*kept, F.coalesce("_known", unknown).alias("meaning"))
+
+
 def unclassified_messages(leads: DataFrame, message: str = "last_inbound_text") -> DataFrame:
     """Distinct messages no rule knows, with how often they occur."""
     return (
