@@ -62,7 +62,7 @@ _ISLAND = re.compile(
     r"(?:[\x20\x09-\x0D]{1,2}[^\x20\x09-\x0D]+)?"
 )
 _TRIGGER = re.compile(r"[0-9@+]")
-_HEX = re.compile(r"[0-9a-f]+")
+_HEX = re.compile(r"[0-9A-Fa-f]+")
 _ATOM = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]|\s+")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _BREAK = frozenset("\x20\t\n\x0b\x0c\r")
@@ -149,12 +149,18 @@ def _word_start(text: str, at: int, least: int) -> int:
 
 # ---------------------------------------------------------------- features of a whole segment
 
-_SHAPE = re.compile(r"[0-9]+|[A-Za-z]+|\s+")
+_SHAPE = re.compile(r"[A-Za-z0-9]+|\s+")
+_NUMBER = re.compile(r"[0-9]+")
+_RUNS = re.compile(r"[0-9]+|[A-Za-z]+")
 
 
 def _shape_of(match: re.Match) -> str:
-    first = match.group()[0]
-    return "9" if first.isdigit() else " " if first.isspace() else "a"
+    """One character a run; letters and digits that change more than once are ``x``."""
+    run = match.group()
+    if run.isspace():
+        return " "
+    runs = _RUNS.findall(run)
+    return "x" if len(runs) > 2 else "".join("9" if r[0].isdigit() else "a" for r in runs)
 
 
 def _shape(span: str) -> str:
@@ -182,14 +188,14 @@ def segment_features(text: str, start: int, end: int) -> list[str]:
     octets = len(parts) == 4 and all(map(_octet, parts))
     return [
         f"shape {shape[:24]}",
-        f"digits {min(len(digits), 20)}",
+        f"digits {min(len(digits), 20)} in {min(len(_NUMBER.findall(span)), 9)}",
         f"check {passes_luhn(digits) if 13 <= len(digits) <= 19 else 'none'}",
         f"octets {octets}",
         f"at {span.count('@')}",
         f"ends {_kind_of(span, 0)} {_kind_of(span, len(span) - 1)}",
         f"left {_kind_of(text, start - 1)}",
         f"right {_kind_of(text, end)}",
-        f"hex {len(span) >= 32 and all(c in '0123456789abcdef' for c in span)}",
+        f"hex {len(span) >= 32 and _HEX.fullmatch(span) is not None}",
         f"after {_word_before(text, start)}",
     ]
 
@@ -266,7 +272,7 @@ class Field:
         triggers = _sums([bool(_TRIGGER.search(p)) for p in pieces])
         ats, unhex = _sums([p == "@" for p in pieces]), _sums([not _HEX.fullmatch(p) for p in pieces])
         octet, dot = (np.array([test(p) for p in pieces]) for test in (_octet, ".".__eq__))
-        n_digits = _sums([len(d) for d in digits])
+        n_digits, n_runs = _sums([len(d) for d in digits]), _sums([len(_NUMBER.findall(p)) for p in pieces])
         plain = np.frombuffer("".join(digits).encode(), np.uint8).astype(np.int64) - 48
         double = np.where(plain > 4, 2 * plain - 9, 2 * plain)
         odd = np.arange(len(plain)) % 2 == 1
@@ -279,7 +285,7 @@ class Field:
         ends_of = self.rows(f"ends {x} {y}" for x in kinds for y in kinds)
         left = self.looked_up("left", lefts) + self.looked_up("after", words)
         right = self.looked_up("right", rights)
-        digits_of = self.rows(f"digits {k}" for k in range(21))
+        digits_of = self.rows(f"digits {k} in {r}" for k in range(21) for r in range(10))
         check_of = self.rows(f"check {k}" for k in ("none", False, True))
         octets_of = self.rows(f"octets {k}" for k in (False, True))
         at_of = self.rows(f"at {k}" for k in range(MAX_ATOMS + 1))
@@ -296,14 +302,14 @@ class Field:
             shape_of = self.rows(f"shape {x}" for x in names)
             shape_of[[f"shape {x}" not in self.index for x in names], 1:] -= UNSEEN_SHAPE
             done, end = n_digits[begin], n_digits[last + 1]
-            count = end - done
+            count, runs = end - done, np.minimum(n_runs[last + 1] - n_runs[begin], 9)
             by_last = np.where(end % 2 == 0, luhn[1][end] - luhn[1][done], luhn[0][end] - luhn[0][done])
             check = np.where((count >= 13) & (count <= 19), 1 + (by_last % 10 == 0), 0)
             octets = np.zeros(len(last), np.int64)
             if size == 7:
                 octets[:] = np.logical_and.reduce([(dot if k % 2 else octet)[begin + k] for k in range(7)])
             whole_hex = (unhex[last + 1] == unhex[begin]) & (length[last + 1] - length[begin] >= 32)
-            score = shape_of[shape] + digits_of[np.minimum(count, 20)] + check_of[check] + octets_of[octets]
+            score = shape_of[shape] + digits_of[np.minimum(count, 20) * 10 + runs] + check_of[check] + octets_of[octets]
             score += at_of[ats[last + 1] - ats[begin]] + ends_of[opens[begin] * len(kinds) + ends[last]]
             score += left[begin] + right[last] + hex_of[whole_hex.astype(np.int64)] + self.weights[-1]
             entity = solid[begin] & solid[last] & (triggers[last + 1] > triggers[begin]) & (place[last] >= size - 1)

@@ -357,6 +357,34 @@ def test_field_equals_enumeration(text):
     assert np.allclose(got_w, want_w) and np.allclose(got_t, want_t)
 
 
+def test_secrets_unlike_those_of_the_sample_are_found(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    field = pii.fit(docs)
+    draw = random.Random(1)
+    texts = [r["text"] for r in docs.filter("text is not null").orderBy("doc_id").limit(200).collect()]
+    plain = [w for t in texts for w in t.split()[:50] if not re.search("[0-9@+]", w)]
+
+    def found(before, alphabet, size, after):
+        hits = others = 0
+        for _ in range(200):
+            secret = "".join(draw.choice(alphabet) for _ in range(size))
+            head = " ".join(draw.choice(plain) for _ in range(12)) + " " + before
+            spans = pii.all_spans(f"{head}{secret}{after} " + " ".join(draw.choice(plain) for _ in range(12)), field)[1]
+            hits += ("secret", len(head), len(head) + size) in spans
+            others += len(spans) - (("secret", len(head), len(head) + size) in spans)
+        return hits / 200, others
+
+    low, mixed = "0123456789abcdef", "0123456789abcdefABCDEF"
+    for case in (('token = "', low, 40, '"'), ('token = "', mixed, 40, '"'), ('token = "', low, 32, '"')):
+        share, others = found(*case)
+        assert share >= 0.9 and others <= 2, case  # a few have other bounds
+    # The sample has no secret without quotes: about half are found (README), and nothing else is.
+    share, others = found("token = ", low, 40, "")
+    assert share > 0.3 and others <= 2
+    for number in (4, 6, 9, 10, 12):
+        assert found("costs ", "123456789", number, " pounds") == (0.0, 0)
+
+
 def test_long_islands_need_little_memory():
     code = """
 import resource
@@ -677,5 +705,44 @@ def test_quality(spark, odd_docs, no_docs):
     assert quality.score_measured(quality.measured(no_docs), model).count() == 0
 
 
+def test_weights_solve_the_plain_ridge(spark):
+    draw = np.random.default_rng(6)
+    texts = [" ".join(draw.choice(["a", "Bc", "3", "x!", "word\n", "|"], size=draw.integers(1, 60))) for _ in range(400)]
+    stats = quality.measured(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(7))
+    good = {i: float(t.count("word") > 6) for i, t in enumerate(texts)}
+    model = quality.fit(stats, spark.createDataFrame(list(good.items()), "doc_id bigint, label double"))
+    rows = np.array([quality.statistics(t) for t in texts], np.float32).astype(np.float64)
+    assert np.allclose(model.mean, rows.mean(axis=0)) and np.allclose(model.deviation, np.maximum(rows.std(axis=0), 1e-6))
+    labels = np.array([good[i] for i in range(len(texts))])
+    x = model.features(rows)
+    # Ridge as least squares with one more row for each penalised weight.
+    root = np.sqrt(quality.RIDGE * len(rows) / x.shape[1]) * np.eye(x.shape[1])[:-1]
+    plain = np.linalg.lstsq(np.vstack([x, root]), np.concatenate([labels, np.zeros(len(root))]), rcond=None)[0]
+    assert np.allclose(x @ model.weights, x @ plain, atol=1e-6)
+    # Products of the cosines come close to the Gaussian kernel.
+    scaled = np.clip((rows[:40] - model.mean) / model.deviation, -5, 5)
+    kernel = np.exp(-((scaled[:, None] - scaled[None]) ** 2).sum(axis=2) / (2 * quality.BANDWIDTH**2))
+    assert np.abs(x[:40, :-1] @ x[:40, :-1].T - kernel).mean() < 0.1
+    # Isotonic shares are least squares: the greatest of all least averages.
+    step = np.rint((np.clip(x @ model.weights, -0.5, 1.5) + 0.5) / 2 * quality.STEPS)
+    steps = sorted(set(step))
+    sums, counts = [labels[step == s].sum() for s in steps], [(step == s).sum() for s in steps]
+    want = [
+        max(min(sum(sums[i : j + 1]) / sum(counts[i : j + 1]) for j in range(k, len(steps))) for i in range(k + 1)) for k in range(len(steps))
+    ]
+    assert len(model.calibrated) == len(want) and np.abs(np.array(want) - model.calibrated).max() < 0.02
+
+
+def test_isotonic_equals_the_greatest_of_least_averages():
+    draw = random.Random(8)
+    for _ in range(200):
+        rows = [draw.randint(1, 5) for _ in range(draw.randint(1, 12))]
+        good = [draw.randint(0, n) for n in rows]
+        want = [
+            max(min(sum(good[i : j + 1]) / sum(rows[i : j + 1]) for j in range(k, len(rows))) for i in range(k + 1)) for k in range(len(rows))
+        ]
+        assert np.allclose(quality.isotonic(good, rows), want)
+
+
 def test_isotonic_pools_neighbours_that_fall():
     assert quality.isotonic([0, 2, 1, 3], [1, 2, 2, 3]).tolist() == [0.0, 0.75, 0.75, 1.0]
