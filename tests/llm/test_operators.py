@@ -726,10 +726,9 @@ def test_weights_solve_the_plain_ridge(spark):
     # Isotonic shares are least squares: the greatest of all least averages.
     step = np.rint((np.clip(x @ model.weights, -0.5, 1.5) + 0.5) / 2 * quality.STEPS)
     steps = sorted(set(step))
-    sums, counts = [labels[step == s].sum() for s in steps], [(step == s).sum() for s in steps]
-    want = [
-        max(min(sum(sums[i : j + 1]) / sum(counts[i : j + 1]) for j in range(k, len(steps))) for i in range(k + 1)) for k in range(len(steps))
-    ]
+    sums, counts = (np.cumsum([0, *own]) for own in ([labels[step == s].sum() for s in steps], [(step == s).sum() for s in steps]))
+    share = np.array([[(sums[j + 1] - sums[i]) / max(counts[j + 1] - counts[i], 1) for j in range(len(steps))] for i in range(len(steps))])
+    want = [share[: k + 1, k:].min(axis=1).max() for k in range(len(steps))]
     assert len(model.calibrated) == len(want) and np.abs(np.array(want) - model.calibrated).max() < 0.02
 
 
