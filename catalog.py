@@ -24,6 +24,7 @@ from leadloom.session import cut_lineage, scratch_path
 from leadloom.sources import fixtures, key_index, tables
 from leadloom.streaming.confirm import confirmed_stream, write_confirmed
 from leadloom.streaming.ingest import ingest_stream, load_batch
+from leadloom.streaming.keyed import ingest_keyed
 from oracles import tables as sql
 from oracles.tables import query
 
@@ -1035,6 +1036,26 @@ def streamed_load(spark, folder):
     )
 
 
+@entry("keyed_stream", query(
+    f"SELECT 'first_load' AS batch_id, lead_id, lead_type, stage, NULL::VARCHAR AS personalisation_signals FROM clean "
+    "UNION ALL SELECT 'stream-0', lead_id, lead_type, stage, personalisation_signals FROM fresh_clean",
+    "clean", "fresh_clean",
+))
+def keyed_load(spark, folder):
+    """Keys in the stream's state; the second run finds all its leads known."""
+    root = scratch_path(spark, "keyed")
+    base = f"{root}/base"
+    tables.append_to_base(clean(spark, folder), base, tables.FIRST_LOAD)
+    incoming = fixtures.day2_batch(spark, folder)
+    for leads in (incoming, incoming.where(F.col("lead_id").isNotNull())):
+        leads.write.mode("append").parquet(f"{root}/incoming")
+        ingest_keyed(spark, f"{root}/incoming", base, f"{root}/rejected", f"{root}/progress", AS_OF)
+    return tables.read_base(spark, base).select(
+        F.regexp_replace("batch_id", "-[0-9a-f-]{36}-", "-").alias("batch_id"),
+        "lead_id", "lead_type", "stage", "personalisation_signals",
+    )
+
+
 WITH_CAMPAIGN = (
     "SELECT 'first_load' AS batch_id, lead_id, lead_type, stage, NULL::VARCHAR AS personalisation_signals, "
     "NULL::VARCHAR AS campaign, NULL::VARCHAR AS reason FROM clean "

@@ -27,6 +27,11 @@ LEAD_TYPES = ("reseller", "reseller_with_email", "physical_shop", "hybrid")
 # Struct of the columns that are not known, on the way through the cleaning.
 ADDITIONAL = "_additional"
 
+# The columns that identity keys are made of.
+CLEAN_KEYS = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("lead_id", "handle", "email", "phone", "store_name", "city")]
+)
+
 CONFIRMATION_SCHEMA = T.StructType(
     [T.StructField("lead_id", T.StringType()), T.StructField("confirmed_for", T.DateType())]
 )

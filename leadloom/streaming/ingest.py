@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from leadloom import rules
 from leadloom.operators.additional import pack
 from leadloom.operators.batch import check_batch, check_keys, clean_new_leads, new_rows, rejections
-from leadloom.schema import LEAD_TYPES, RAW_SCHEMA
+from leadloom.schema import CLEAN_KEYS, LEAD_TYPES, RAW_SCHEMA
 from leadloom.session import cut_lineage
 from leadloom.sources import files, key_index
 from leadloom.sources.tables import (
@@ -73,6 +73,24 @@ def load_batch(
         checked = incoming.withColumns(
             {"reason": F.lit(None).cast("string"), "matched_lead_id": F.lit(None).cast("string")}
         )
+    counts = write_load(checked, base_path, rejections_path, batch_id, as_of, within_batch, brand)
+    if index_path is not None:
+        key_index.store_keys(spark, index_path, loaded_rows(spark, base_path, batch_id), batch_id)
+    if compact_at is not None and len([n for n in files.names(spark, base_path) if n.startswith(BATCH_COLUMN)]) >= compact_at:
+        compact_base(spark, base_path)
+    return counts
+
+
+def write_load(
+    checked: DataFrame,
+    base_path: str,
+    rejections_path: str,
+    batch_id: str | int,
+    as_of: date,
+    within_batch: bool = False,
+    brand: rules.Brand = rules.Brand(),
+) -> LoadCounts:
+    """Write the two outputs of a checked batch, each to the batch's own partition."""
     arrived, added = Observation(), Observation()
     checked = cut_lineage(
         checked.observe(arrived, F.count(F.lit(1)).alias("incoming"), F.count_if(F.col("reason").isNotNull()).alias("rejected"))
@@ -82,18 +100,18 @@ def load_batch(
     by_type = [F.count_if(F.col("lead_type") == kind).alias(kind) for kind in LEAD_TYPES]
     signals = F.count_if(F.col("personalisation_signals") != "").alias("with_signals")
     append_to_base(fresh.observe(added, F.count(F.lit(1)).alias("added"), *by_type, signals), base_path, batch_id)
-    if index_path is not None:
-        own = spark.read.schema(fresh.schema).parquet(batch_path(base_path, batch_id))
-        key_index.store_keys(spark, index_path, own, batch_id)
-    if compact_at is not None and len([n for n in files.names(spark, base_path) if n.startswith(BATCH_COLUMN)]) >= compact_at:
-        compact_base(spark, base_path)
     new = added.get
     return LoadCounts(
         arrived.get["incoming"], arrived.get["rejected"], new["added"], {k: new[k] for k in LEAD_TYPES}, new["with_signals"]
     )
 
 
-def _incoming_schema(spark: SparkSession, path: str, file_format: str, options: dict) -> StructType:
+def loaded_rows(spark: SparkSession, base_path: str, batch_id: str | int) -> DataFrame:
+    """What a load added, with the columns its keys are made of; no other partition is opened."""
+    return spark.read.schema(CLEAN_KEYS).parquet(batch_path(base_path, batch_id))
+
+
+def incoming_schema(spark: SparkSession, path: str, file_format: str, options: dict) -> StructType:
     """Columns of the files that are there; the known ones if there is no file yet."""
     try:
         return spark.read.options(**options).format(file_format).load(path).schema
@@ -131,7 +149,7 @@ def ingest_stream(
     checkpoint, never writes to a partition of this one.
     """
     options = {"multiLine": multi_line, **CSV_OPTIONS} if file_format == "csv" else {"mergeSchema": True}
-    schema = _incoming_schema(spark, incoming_path, file_format, options)
+    schema = incoming_schema(spark, incoming_path, file_format, options)
     if file_format == "csv":
         schema, options = csv_schema(schema), options | LINE_OPTIONS
     reader = spark.readStream.schema(schema).options(**options).option("maxFilesPerTrigger", max_files_per_batch)
