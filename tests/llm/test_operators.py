@@ -54,6 +54,26 @@ def test_repeated_rows_take_one_place(spark):
     assert sorted(got) == [(1, 0, 1), (2, 0, 2), (3, 1, 3)]
 
 
+def test_codes_of_any_length(spark, monkeypatch):
+    draw = random.Random(8)
+    centre = [draw.choice((-1.0, 1.0)) for _ in range(200)]
+    vectors = [[-x if draw.random() < 0.03 else x for x in centre][: draw.choice((200, 200, 130))] for _ in range(150)]
+    vectors += [[draw.choice((-1.0, 0.0, 1.0)) for _ in range(200)] for _ in range(60)] + [[], [None, 1.0], [1.0] * 64, [-1.0] * 65]
+    rows = spark.createDataFrame([*enumerate(vectors), (None, [1.0]), (900, None)], "id bigint, vector array<double>")
+    codes = rows.select("id", hamming.sign_code(F.col("vector")).alias("code"))
+    signs = [{i for i, x in enumerate(v) if x is not None and x > 0} for v in vectors]
+    asked = [*range(0, 210, 13), 210, 211, 212, 213]
+    want = set()
+    for q in asked:
+        best = sorted((len(signs[q] ^ c), i) for i, c in enumerate(signs))[:6]
+        want |= {(q, i, d, n + 1) for n, (d, i) in enumerate(best)}
+    for block, group in ((hamming.BLOCK_CODES, hamming.GROUP_QUERIES), (40, 5)):
+        monkeypatch.setattr(hamming, "BLOCK_CODES", block)
+        monkeypatch.setattr(hamming, "GROUP_QUERIES", group)
+        got = hamming.search(codes, codes.filter(F.col("id").isin(asked)), k=6)
+        assert {tuple(r) for r in got.select("query_id", "neighbour_id", "distance", "rank").collect()} == want
+
+
 # ---------------------------------------------------------------- op2
 
 
