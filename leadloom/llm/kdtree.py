@@ -6,7 +6,8 @@ dimension over all rows) at the weighted quantile that gives each side its numbe
 shards; weights are bytes.  The quantile is exact: every pass adds up bytes by node and by
 one of ``BINS`` equal ranges of the values that are left, a window over those sums picks
 the range that holds the quantile, and the next pass looks only inside it.  Rows that tie
-on the value are split the same way by their id.  Passes read a narrow table of numbers;
+on the value are split the same way by their id.  Passes read a narrow table of numbers,
+written anew for each level of the tree, so plans do not grow with its depth;
 what moves is one sum per node, range and task, and what reaches the driver is one row per
 node.  Only DataFrame functions are used.
 
@@ -18,6 +19,7 @@ part.  Sides differ from their share by at most half the row (or repeated rows)
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -66,8 +68,8 @@ def document_dimensions() -> dict[str, Column]:
 
 
 def _as_rows(df: DataFrame, rows: list[tuple[int, ...]], names: list[str]) -> DataFrame:
-    """A small table of whole numbers as an expression: at most one row per shard."""
-    values = F.array(*[F.struct(*[F.lit(v).cast("bigint").alias(n) for v, n in zip(r, names, strict=True)]) for r in rows])
+    """A small table of whole numbers, at most one row per shard, in one literal of the plan."""
+    values = F.from_json(F.lit(json.dumps([dict(zip(names, r, strict=True)) for r in rows])), f"array<struct<{', '.join(f'{n}: bigint' for n in names)}>>")
     return df.sparkSession.range(1).select(F.inline(values))
 
 
@@ -85,7 +87,7 @@ def _narrow(docs: DataFrame, dimensions: Mapping[str, Column]) -> DataFrame:
 
 
 def _quantiles(rows: DataFrame, value: Column, searches: list[Search]) -> dict[int, tuple[int, int]]:
-    """For each node the smallest value at which its bytes reach the target, and the bytes below that value."""
+    """For each node the smallest ``value`` at which its bytes reach the target, and the bytes below that value."""
     found: dict[int, tuple[int, int]] = {}
     while searches:
         names = ["at_node", "low", "high", "width", "before", "target"]
@@ -115,6 +117,11 @@ def _quantiles(rows: DataFrame, value: Column, searches: list[Search]) -> dict[i
     return found
 
 
+def _value(axes: int) -> Column:
+    """A row's value in the dimension ``axis``."""
+    return F.element_at(F.array(*[F.col(f"axis_{i}") for i in range(axes)]), (F.col("axis") + 1).cast("int"))
+
+
 def _split(rows: DataFrame, nodes: dict[int, Node], axes: int, whole: list[tuple[int, int]]) -> tuple[DataFrame, dict[int, Node]]:
     """Split every node that holds several shards."""
     stats = rows.groupBy("node").agg(
@@ -135,12 +142,12 @@ def _split(rows: DataFrame, nodes: dict[int, Node], axes: int, whole: list[tuple
             ties[row["node"]] = (row["tie_low"], row["tie_high"], target)
     if not searches:
         return rows, {}
-    chosen = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for pair in axis_of.items() for x in pair]), F.col("node"))
-    value = F.element_at(F.array(*[F.col(f"axis_{i}") for i in range(axes)]), (chosen + 1).cast("int"))
-    cuts = _quantiles(rows, value, searches)
-    equal = rows.withColumn("value", value).join(
+    chosen = _as_rows(rows, list(axis_of.items()), ["of_node", "axis"])
+    by_axis = rows.join(F.broadcast(chosen), F.col("node") == F.col("of_node")).select("node", "size", "tie", _value(axes).alias("at"))
+    cuts = _quantiles(by_axis, F.col("at"), searches)
+    equal = by_axis.join(
         F.broadcast(_as_rows(rows, [(n, v) for n, (v, _) in cuts.items()], ["cut_node", "cut"])),
-        (F.col("node") == F.col("cut_node")) & (F.col("value") == F.col("cut")),
+        (F.col("node") == F.col("cut_node")) & (F.col("at") == F.col("cut")),
     )
     tied = _quantiles(
         equal, F.col("tie"), [Search(n, ties[n][0], ties[n][1], below, ties[n][2]) for n, (_, below) in cuts.items()]
@@ -159,12 +166,11 @@ def _split(rows: DataFrame, nodes: dict[int, Node], axes: int, whole: list[tuple
         children[left] = Node(own.first, own.count // 2)
         children[right] = Node(own.first + own.count // 2, own.count - own.count // 2)
     table = _as_rows(rows, split, ["at_node", "axis", "cut", "last_tie", "left", "right"])
-    own_value = F.element_at(F.array(*[F.col(f"axis_{i}") for i in range(axes)]), (F.col("axis") + 1).cast("int"))
-    is_left = (own_value < F.col("cut")) | ((own_value == F.col("cut")) & (F.col("tie") <= F.col("last_tie")))
+    is_left = (_value(axes) < F.col("cut")) | ((_value(axes) == F.col("cut")) & (F.col("tie") <= F.col("last_tie")))
     moved = rows.join(F.broadcast(table), F.col("node") == F.col("at_node"), "left").withColumn(
         "node", F.when(F.col("at_node").isNull(), F.col("node")).when(is_left, F.col("left")).otherwise(F.col("right"))
     )
-    return moved.select(*rows.columns), children
+    return cut_lineage(moved.select(*rows.columns)), children
 
 
 def shard(
@@ -197,15 +203,12 @@ def shard(
     if not leaves:  # no rows
         leaves = {0: 0}
     named = rows.join(F.broadcast(_as_rows(rows, list(leaves.items()), ["leaf", "shard_of"])), F.col("node") == F.col("leaf"))
-    groups = max(1, whole["rows"] // SLOT_ROWS)
-    placed = named.select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        F.col("shard_of").cast("int").alias("shard"),
-        F.pmod(F.xxhash64("tie", "text_crc32", "size"), F.lit(groups)).alias("block"),
+    named = named.select("doc_id", "size", "text_crc32", "tie", F.col("shard_of").cast("int").alias("shard"))
+    blocks = named.groupBy(F.col("shard").alias("of_shard")).agg(F.greatest(F.lit(1), F.expr(f"count(*) div {SLOT_ROWS}")).alias("blocks"))
+    placed = named.join(F.broadcast(blocks), F.col("shard") == F.col("of_shard")).select(  # one row per shard
+        "doc_id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("tie", "text_crc32", "size"), "blocks").alias("block")
     )
-    # One row per shard and block: the rows divided by SLOT_ROWS, times the shards.
+    # One row per shard and block: the shards, and the rows divided by SLOT_ROWS.
     earlier = Window.partitionBy("in_shard").orderBy("in_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy(F.col("shard").alias("in_shard"), F.col("block").alias("in_block"))

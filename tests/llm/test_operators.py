@@ -104,6 +104,47 @@ def test_shards_are_near_equal(spark):
     assert first == {tuple(r) for r in kdtree.shard(docs, shards=8).collect()}
 
 
+def plain_shards(rows, count, whole, first=0):
+    """Shard of each row (values, size); rows are cut at the weighted median of their widest dimension, ties by the last."""
+    if count == 1 or not rows:
+        return dict.fromkeys(rows, first)
+    spread = [(max(r[0][i] for r in rows) - min(r[0][i] for r in rows)) / max(1, whole[i]) for i in range(4)]
+    axis = max(range(4), key=lambda i: (spread[i], -i))
+    order = sorted(rows, key=lambda r: (r[0][axis], r[0][3]))
+    target = -(-sum(r[1] for r in rows) * (count // 2) // count)
+    below = 0
+    for place, row in enumerate(order):
+        if below + row[1] >= target:
+            break
+        below += row[1]
+    cut = place + (2 * (target - below) >= row[1])
+    return plain_shards(order[:cut], count // 2, whole, first) | plain_shards(order[cut:], count - count // 2, whole, first + count // 2)
+
+
+@pytest.mark.parametrize("shards", [2, 7])
+def test_splits_equal_plain_weighted_medians(spark, shards):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [
+        ((zlib.crc32(r["source"].encode()) if r["source"] else -1, zlib.crc32(r["lang"].encode()) if r["lang"] else -1, r["n_chars"], r["doc_id"]), len((r["text"] or "").encode()) + 1)
+        for r in docs.collect()
+    ]
+    whole = [max(r[0][i] for r in rows) - min(r[0][i] for r in rows) for i in range(4)]
+    want = {values[3]: shard for (values, _), shard in plain_shards(rows, shards, whole).items()}
+    assert {r["doc_id"]: r["shard"] for r in kdtree.shard(docs, shards=shards).collect()} == want
+
+
+def test_plan_does_not_grow_with_the_tree(spark, monkeypatch):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(200)
+    monkeypatch.setattr(kdtree, "SLOT_ROWS", 5)
+    plain = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    joins = []
+    for shards in (2, 16):
+        rows = kdtree.shard(docs, shards=shards)
+        joins.append(rows._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+        check_shards(rows, plain, shards)
+    assert joins[0] == joins[1]
+
+
 def test_shards_of_odd_rows(odd_docs, no_docs):
     plain = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     check_shards(kdtree.shard(odd_docs, shards=3), plain, 3)
