@@ -3,16 +3,21 @@
 No micro-batch reads the base or an index of it.  Two streams are grouped by key: the keys that
 arriving leads ask for, and the keys that were taken up, which come as files: those of the base
 when the stream starts, later those of the leads that a micro-batch added.  What a micro-batch
-adds is therefore known to the next, not to itself, as in ``ingest_stream``.  A group first takes
-in the new keys of its own, then answers once whether its key is held, however many leads ask;
-the leads themselves pass through groups of their own and meet the answers in a join as large as
-the micro-batch.  So whether a lead is new may hang on all its keys, while state knows one key each.
+adds is therefore known to the next, not to itself, as in ``ingest_stream``.  A group is one
+aggregate, whether its key is held and by which least lead, so a micro-batch costs a look-up for
+each of its keys, combined before the shuffle; the leads themselves go past the groups and meet
+the answers in a join as large as the micro-batch.  So whether a lead is new may hang on all its
+keys, while state knows one key each.  Keys that were asked for and not found stay in the state too.
 
 State lies in a key-value store on the executors' disks, of which only changes are saved with each
 micro-batch.  A micro-batch that was not finished is done again from the state and the files that
 its checkpoint names, and replaces what it had written.
 
 The number of state partitions is that of ``spark.sql.shuffle.partitions`` at the first start.
+
+A checkpoint of an earlier version holds the state of a Python function (``answer``) that is called
+for each key.  Such a stream goes on in that form, at some milliseconds of a core for each key; a
+new ``progress_path`` takes up the base anew.
 """
 
 from __future__ import annotations
@@ -21,13 +26,14 @@ from collections.abc import Iterable, Iterator
 from datetime import date
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState
 
 from leadloom import rules
 from leadloom.functions.keys import identity_keys
+from leadloom.functions.logic import ColumnLike, as_column
 from leadloom.operators.additional import pack
 from leadloom.operators.batch import check_keys, held_keys, known_keys
 from leadloom.session import cut_lineage
@@ -45,7 +51,7 @@ from leadloom.sources.tables import (
 from leadloom.streaming.ingest import incoming_schema, loaded_rows, write_load
 
 KEY_SCHEMA = f"key string, lead_id string, {BATCH_COLUMN} string"
-#: Groups in which leads pass through the stateful step, for each partition of the state.
+#: Groups in which leads pass through the stateful step of ``answer``, for each partition of the state.
 PASSING = 4
 
 ROW, LINE, ASKED, HELD = "row", "line", "asked", "held"
@@ -79,27 +85,58 @@ def answer(group: tuple[str], entries: Iterable[pd.DataFrame], state: GroupState
         yield pd.DataFrame({"kind": [HELD], "key": [key], "lead_id": [least], "fields": [None]})
 
 
-def _entries(leads: DataFrame, groups: int) -> DataFrame:
-    """A lead as one entry that passes and one for each of its keys."""
-    none = F.lit(None).cast("string")
-    fields = F.array(*[F.col("`" + name.replace("`", "``") + "`") for name in leads.columns])
-    # Copies of one lead in several files pass through several groups.
-    place = F.concat(F.lit("pass-"), F.pmod(F.xxhash64(fields, F.spark_partition_id()), F.lit(groups)))
-    own = F.struct(
-        F.lit(ROW).alias("kind"), place.alias("key"), none.alias("lead_id"), fields.alias("fields")
-    )
-    asks = F.transform(
-        F.array_distinct(identity_keys()),
-        lambda key: F.struct(
-            F.lit(ASKED).alias("kind"), key.alias("key"), none.alias("lead_id"), F.lit(None).cast("array<string>").alias("fields")
-        ),
+def _entry(kind: str, key: ColumnLike | None = None, lead_id: ColumnLike | None = None, fields: Column | None = None) -> list[Column]:
+    """Columns of ``ENTRY``."""
+    text = [F.lit(None) if c is None else as_column(c) for c in (key, lead_id)]
+    fields = F.lit(None) if fields is None else fields
+    return [
+        F.lit(kind).alias("kind"),
+        text[0].cast("string").alias("key"),
+        text[1].cast("string").alias("lead_id"),
+        fields.cast("array<string>").alias("fields"),
+    ]
+
+
+def _fields(leads: DataFrame) -> Column:
+    return F.array(*[F.col("`" + name.replace("`", "``") + "`") for name in leads.columns])
+
+
+def answers_by_state(leads: DataFrame, lines: DataFrame | None, taken: DataFrame) -> DataFrame:
+    """Leads and lines as they came, and the keys of this micro-batch that are held, each with its least lead."""
+    asked = leads.select(F.explode(identity_keys()).alias("key"), F.lit(None).cast("string").alias("lead_id"), F.lit(False).alias("held"))
+    found = (
+        asked.unionByName(taken.select("key", "lead_id", F.lit(True).alias("held")))
+        .groupBy("key")
+        .agg(F.bool_or("held").alias("held"), F.min("lead_id").alias("lead_id"))
+        .where("held")
     )
-    return leads.select(F.inline(F.concat(F.array(own), asks)))
+    answered = found.select(*_entry(HELD, "key", "lead_id")).unionByName(leads.select(*_entry(ROW, fields=_fields(leads))))
+    return answered if lines is None else answered.unionByName(lines.select(*_entry(LINE, lead_id="line")))
 
 
-def _passing_lines(lines: DataFrame, groups: int) -> DataFrame:
-    place = F.concat(F.lit("pass-"), F.pmod(F.xxhash64("line", F.spark_partition_id()), F.lit(groups)))
-    return lines.select(F.lit(LINE).alias("kind"), place.alias("key"), F.col("line").alias("lead_id"), F.lit(None).cast("array<string>").alias("fields"))
+def answers_by_function(leads: DataFrame, lines: DataFrame | None, taken: DataFrame) -> DataFrame:
+    """The same by ``answer``, for checkpoints that hold its state."""
+    groups = PASSING * int(leads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def place(of: Column) -> Column:
+        # Copies of one lead in several files pass through several groups.
+        return F.concat(F.lit("pass-"), F.pmod(F.xxhash64(of, F.spark_partition_id()), F.lit(groups)))
+
+    fields = _fields(leads)
+    asks = F.transform(F.array_distinct(identity_keys()), lambda key: F.struct(*_entry(ASKED, key)))
+    own = F.array(F.struct(*_entry(ROW, place(fields), fields=fields)))
+    entries = leads.select(F.inline(F.concat(own, asks))).unionByName(taken.select(*_entry(HELD, "key", "lead_id")))
+    if lines is not None:
+        entries = entries.unionByName(lines.select(*_entry(LINE, place(F.col("line")), "line")))
+    return entries.groupBy("key").applyInPandasWithState(answer, ENTRY, "lead_id string", "append", "NoTimeout")
+
+
+def has_function_state(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether the checkpoint is one of an earlier version, whose state ``answer`` keeps."""
+    if not files.exists(spark, f"{checkpoint}/state/0/_metadata"):
+        return False  # nothing was loaded yet
+    kept = spark.read.format("state-metadata").load(checkpoint).select("operatorName")
+    return not kept.where(F.col("operatorName") != "stateStoreSave").isEmpty()
 
 
 def take_up_base(spark: SparkSession, base_path: str, keys_path: str) -> None:
@@ -157,17 +194,9 @@ def keyed_stream(
     leads, surplus = divide_lines(incoming) if csv else (incoming, None)
     leads = align_raw(leads)
     names = leads.columns
-    groups = PASSING * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = _entries(leads, groups)
-    if surplus is not None:
-        entries = entries.unionByName(_passing_lines(surplus, groups))
     taken = spark.readStream.schema(KEY_SCHEMA).parquet(keys_path)
-    held = taken.select(F.lit(HELD).alias("kind"), "key", "lead_id", F.lit(None).cast("array<string>").alias("fields"))
-    answers = (
-        entries.unionByName(held)
-        .groupBy("key")
-        .applyInPandasWithState(answer, ENTRY, "lead_id string", "append", "NoTimeout")
-    )
+    by_function = has_function_state(spark, checkpoint)
+    answers = (answers_by_function if by_function else answers_by_state)(leads, surplus, taken)
 
     def load(answered: DataFrame, batch_id: int) -> None:
         answered = cut_lineage(answered)  # state must not be asked twice
@@ -191,7 +220,7 @@ def keyed_stream(
     try:
         return (
             answers.writeStream.foreachBatch(load)
-            .outputMode("append")
+            .outputMode("append" if by_function else "update")
             .option("checkpointLocation", checkpoint)
             .trigger(processingTime=every)
             .start()

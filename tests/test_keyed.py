@@ -146,3 +146,42 @@ def test_lines_and_additional_columns(spark, leads):
     keyed.ingest_keyed(spark, f"{root}/incoming", f"{root}/base", f"{root}/rejected", f"{root}/progress", AS_OF, file_format="csv")
     assert [(r.lead_id, r.campaign) for r in tables.read_base(spark, f"{root}/base").collect()] == [("L1", "fair")]
     assert [r.line for r in spark.read.parquet(f"{root}/rejected-lines").collect()] == ["L2,fair,@two,surplus"]
+
+
+def operators(spark, root):
+    return {r.operatorName for r in spark.read.format("state-metadata").load(f"{root}/progress/checkpoint").collect()}
+
+
+def test_no_function_is_called_for_each_key(spark, leads, monkeypatch):
+    """A base without ids and copies of one lead among them; log and base as without state."""
+
+    def called(*_):
+        raise AssertionError("called for a key")
+
+    monkeypatch.setattr(keyed, "answer", called)
+    root, plain = scratch_path(spark, "test"), scratch_path(spark, "test")
+    nameless, twice = {"handle": "@nobody"}, {"lead_id": "L7", "handle": "@seven", "phone": "07700900777"}
+    for here in (root, plain):
+        tables.append_to_base(clean_leads(leads(OLD, nameless), AS_OF), f"{here}/base", tables.FIRST_LOAD)
+    for rows in ([*FIRST, twice, twice], [*SECOND, {"lead_id": "L8", "handle": "@nobody"}, {"phone": "00447700900777"}]):
+        for here in (root, plain):
+            arrive(leads, here, *rows)
+        ingest_stream(spark, f"{plain}/incoming", f"{plain}/base", f"{plain}/rejected", f"{plain}/progress", AS_OF).awaitTermination()
+        keyed.ingest_keyed(spark, f"{root}/incoming", f"{root}/base", f"{root}/rejected", f"{root}/progress", AS_OF)
+    assert operators(spark, root) == {"stateStoreSave"}
+    assert outcome(spark, root) == outcome(spark, plain)
+
+
+def test_a_checkpoint_of_an_earlier_version_goes_on(spark, leads, monkeypatch):
+    root, plain = scratch_path(spark, "test"), scratch_path(spark, "test")
+    for here in (root, plain):
+        tables.append_to_base(clean_leads(leads(OLD), AS_OF), f"{here}/base", tables.FIRST_LOAD)
+    monkeypatch.setattr(keyed, "has_function_state", lambda *_: True)
+    for rows in (FIRST, SECOND):
+        for here in (root, plain):
+            arrive(leads, here, *rows)
+        ingest_stream(spark, f"{plain}/incoming", f"{plain}/base", f"{plain}/rejected", f"{plain}/progress", AS_OF).awaitTermination()
+        keyed.ingest_keyed(spark, f"{root}/incoming", f"{root}/base", f"{root}/rejected", f"{root}/progress", AS_OF)
+        monkeypatch.undo()
+    assert operators(spark, root) == {"applyInPandasWithState"}
+    assert outcome(spark, root) == outcome(spark, plain)
