@@ -17,7 +17,7 @@ The number of state partitions is that of ``spark.sql.shuffle.partitions`` at th
 
 A checkpoint of an earlier version holds the state of a Python function (``answer``) that is called
 for each key.  Such a stream goes on in that form, at some milliseconds of a core for each key; a
-new ``progress_path`` takes up the base anew.
+new ``progress_path`` takes up the base anew, and reads the incoming files that are there again.
 """
 
 from __future__ import annotations
